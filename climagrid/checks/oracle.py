@@ -70,7 +70,7 @@ SELECT latitude, longitude, CAST(day + CAST(i AS INT) AS DATE) AS weather_date,
          AS max_temp_c,
        CASE WHEN i = 0 THEN tax WHEN i = 1 THEN tax * CAST(0.5 AS DOUBLE) END
          AS precipitation_mm,
-       CAST(sup % 25 AS INT) AS town, sup, day AS first_day
+       sup, day AS first_day
 FROM snapped CROSS JOIN RANGE(3) AS r(i) WHERE NOT no_days
 """
 LOCATIONS = """
@@ -459,7 +459,7 @@ ORACLE: dict[str, str] = {
         select="""SELECT latitude, longitude, -18000 AS utc_offset_seconds,
         'America/Bogota' AS timezone, '-05' AS timezone_abbreviation,
         CAST(sup * 10 AS DOUBLE) AS elevation, CAST(YEAR(first_day) AS INT) AS year,
-        'town_' || town AS city, weather_date, max_temp_c, precipitation_mm FROM days""",
+        weather_date, max_temp_c, precipitation_mm FROM days""",
     ),
     "locations_csv_roundtrip": over(
         "locations",

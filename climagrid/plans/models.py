@@ -12,7 +12,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from climagrid.functions.dates import epoch_phase
 from climagrid.operators.ordering import sorted_by
@@ -40,6 +39,8 @@ TRAIN_FRACTION = 0.8
 MIN_REGRESSION_ROWS = 11
 SWEEP = range(2, 8)
 
+ROWS_PER_PARTITION = 100_000
+
 # An observation is split by its place and day.
 SPLIT_KEYS = ("city_name", "location_id", "weather_date")
 
@@ -77,6 +78,16 @@ def standardize(df: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES) -> DataFr
     )
 
 
+def _scaled_input(kept: DataFrame, cities: int, cols: Sequence[str]) -> DataFrame:
+    """Scaled features in a layout that depends on the rows alone.
+
+    The starting points drawn from a seed depend on where the rows lie, so rows are placed by
+    their hash and sorted; otherwise a second run could give other clusters.
+    """
+    placed = kept.repartition(1 + cities // ROWS_PER_PARTITION, *kept.columns)
+    return standardize(placed.sortWithinPartitions(*kept.columns), cols)
+
+
 def cluster_cities(
     features: DataFrame,
     k: int = 3,
@@ -91,7 +102,7 @@ def cluster_cities(
     cities = kept.count()
     if cities < 2:
         return None
-    scaled = standardize(kept, cols)
+    scaled = _scaled_input(kept, cities, cols)
     return KMeans(k=min(k, cities), seed=seed).fit(scaled).transform(scaled)
 
 
@@ -107,19 +118,17 @@ def choose_k(
     """
     kept = materialize(drop_null(features, cols), "city-features")
     cities = kept.count()
-    scaled = standardize(kept, cols).cache()
+    tried = [k for k in ks if k < cities]
+    if not tried:
+        return None
+    scaled = _scaled_input(kept, cities, cols).cache()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    scores, models = [], {}
-    for k in (k for k in ks if k < cities):
-        models[k] = KMeans(k=k, seed=seed).fit(scaled)
-        scores.append((k, evaluator.evaluate(models[k].transform(scaled))))
+    fits = {k: KMeans(k=k, seed=seed).fit(scaled) for k in tried}
+    scores = [(k, evaluator.evaluate(fit.transform(scaled))) for k, fit in fits.items()]
     scaled.unpersist()
-    if not scores:
-        return None
     best_k = max(scores, key=lambda score: score[1])[0]
-    schema = T.StructType.fromDDL("k INT, silhouette DOUBLE")
-    table = features.sparkSession.createDataFrame(scores, schema)
-    return KChoice(table, best_k, models[best_k].transform(scaled))
+    table = features.sparkSession.createDataFrame(scores, "k INT, silhouette DOUBLE")
+    return KChoice(table, best_k, fits[best_k].transform(scaled))
 
 
 def cluster_members(
@@ -143,12 +152,12 @@ def regression_rows(obs: DataFrame) -> DataFrame:
     )
 
 
-def _fit_and_predict(rows: DataFrame, stages: list, keys: Sequence[str]) -> Regression | None:
-    train, test = split(rows, *keys, frac=TRAIN_FRACTION, seed=SEED)
-    if test.isEmpty() or train.isEmpty():
-        return None
-    model = Pipeline(stages=stages).fit(train)
-    return Regression(model, model.transform(test))
+def temperature_rows(obs: DataFrame) -> DataFrame:
+    """Days with temperature, humidity and rain, and the time of year."""
+    complete = require_not_null(obs, ["max_temp_c", "humidity_percent", "precipitation_mm"])
+    return complete.withColumns(
+        {"month_num": F.month("weather_date"), "day_of_year": epoch_phase("weather_date")}
+    )
 
 
 def regress_precipitation(
@@ -156,20 +165,28 @@ def regress_precipitation(
 ) -> Regression | None:
     """Least squares of rain on temperature and month.
 
-    None unless there are more than ten rows and both sides of the split have some. The
-    solver needs one pass over the training rows, whatever their number.
+    None unless there are more than ten rows and both sides of the split have some. Equal
+    training rows are first folded into one with their number as weight, which gives the
+    same fit: measures come in steps of a tenth, so the solver then reads a small kept table
+    however many observations there are.
     """
     rows = regression_rows(obs)
     if rows.limit(MIN_REGRESSION_ROWS).count() < MIN_REGRESSION_ROWS:
         return None
-    stages = [
-        VectorAssembler(inputCols=["temperature", "month"], outputCol="features"),
-        LinearRegression(featuresCol="features", labelCol="precipitation", solver="normal"),
-    ]
-    fitted = _fit_and_predict(rows, stages, keys)
-    return fitted and fitted._replace(
-        predictions=fitted.predictions.drop("location_id", "weather_date")
+    train, test = split(rows, *keys, frac=TRAIN_FRACTION, seed=SEED)
+    folded = train.groupBy("temperature", "month", "precipitation").agg(
+        F.count(F.lit(1)).cast("double").alias("weight")
     )
+    folded = materialize(folded, "regression-rows")
+    if folded.isEmpty() or test.isEmpty():
+        return None
+    features = VectorAssembler(inputCols=["temperature", "month"], outputCol="features")
+    solver = LinearRegression(
+        featuresCol="features", labelCol="precipitation", weightCol="weight", solver="normal"
+    )
+    model = solver.fit(features.transform(folded))
+    predictions = model.transform(features.transform(test.drop("location_id", "weather_date")))
+    return Regression(model, predictions)
 
 
 def predict_temperature(
@@ -177,24 +194,23 @@ def predict_temperature(
 ) -> Regression | None:
     """Elastic net for temperature from place, humidity, rain and time of year.
 
-    ``day_of_year`` is the phase of ``epoch_phase``. None if a side of the split is empty.
+    ``day_of_year`` is a phase (see ``epoch_phase``). None if a side of the split is empty.
+    Scaling and solving read the training rows a fixed number of times; nothing is cached.
     """
-    rows = require_not_null(
-        obs, ["max_temp_c", "humidity_percent", "precipitation_mm"]
-    ).withColumns(
-        {"month_num": F.month("weather_date"), "day_of_year": epoch_phase("weather_date")}
+    rows = temperature_rows(obs)
+    train, test = split(rows, *keys, frac=TRAIN_FRACTION, seed=SEED)
+    if train.isEmpty() or test.isEmpty():
+        return None
+    solver = LinearRegression(
+        featuresCol="scaled_features",
+        labelCol="max_temp_c",
+        regParam=0.1,
+        elasticNetParam=0.8,
+        solver="normal",
     )
-    stages = [
-        *_scaling(TEMPERATURE_FEATURES, "pred_features", "scaled_features"),
-        LinearRegression(
-            featuresCol="scaled_features",
-            labelCol="max_temp_c",
-            regParam=0.1,
-            elasticNetParam=0.8,
-            solver="normal",
-        ),
-    ]
-    return _fit_and_predict(rows, stages, keys)
+    stages = [*_scaling(TEMPERATURE_FEATURES, "pred_features", "scaled_features"), solver]
+    model = Pipeline(stages=stages).fit(train)
+    return Regression(model, model.transform(test))
 
 
 def regression_metrics(

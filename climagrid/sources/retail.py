@@ -10,8 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Columns used of each table; a declared schema saves the job that would infer one.
+SCHEMAS = {
+    "lineitem": """l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_discount DOUBLE,
+                   l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ""",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _placed(spark: SparkSession, sf_dir: str, suppliers: DataFrame) -> DataFrame:

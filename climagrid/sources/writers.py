@@ -17,19 +17,22 @@ CATEGORY_FOLDERS = {
 EXPORT_FORMATS = ("json", "csv")
 
 
-def write_raw_json(docs: DataFrame, root: str) -> None:
-    """Land documents as JSON lines under ``year=/city=``.
+def write_raw_json(docs: DataFrame, root: str, by_city: bool = False) -> None:
+    """Land documents as JSON lines under ``year=``, sorted by their ``city`` column.
 
-    ``docs`` carries a ``city`` column; the year is that of the first day. Rebalancing
-    gathers each folder's documents into few files, and adaptive execution splits a folder
-    that holds a large share of all documents over several tasks.
+    The year is that of the first day. Rebalancing gathers a year's documents into few files,
+    and adaptive execution splits a heavy year over several tasks. ``by_city`` makes a folder
+    per city inside each year instead; keep it for few cities, since the number of folders is
+    cities times years.
     """
+    folders = ["year", "city"] if by_city else ["year"]
     (
         docs.withColumn("year", F.year(parse_date(F.try_element_at("daily.time", F.lit(1)))))
         .withColumn("city", F.replace(F.lower("city"), F.lit(" "), F.lit("_")))
-        .hint("rebalance", "year", "city")
+        .hint("rebalance", *folders)
+        .sortWithinPartitions("year", "city")
         .write.mode("overwrite")
-        .partitionBy("year", "city")
+        .partitionBy(*folders)
         .json(root)
     )
 
