@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from climagrid.operators.rollup import exact_deviation, exact_mean, is_rollup
 from climagrid.sources.scratch import materialize
 
 
@@ -25,29 +26,37 @@ def join_on_grid(weather: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
-def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+def group_stats(
+    source: DataFrame, keys: Sequence[str], measures: Mapping[str, str]
+) -> DataFrame:
     """Mean and sample deviation per group, named ``mean_<label>`` and ``std_<label>``.
 
-    ``measures`` maps a column to its label.
+    ``measures`` maps a column to its label. A rollup will do as ``source`` if it has the
+    keys and the measures.
     """
     aggregates = []
     for column, label in measures.items():
-        aggregates += [
-            F.avg(column).alias(f"mean_{label}"),
-            F.stddev(column).alias(f"std_{label}"),
-        ]
-    return df.groupBy(*keys).agg(*aggregates)
+        if is_rollup(source):
+            mean, std = exact_mean(column), exact_deviation(column)
+        else:
+            mean, std = F.avg(column), F.stddev(column)
+        aggregates += [mean.alias(f"mean_{label}"), std.alias(f"std_{label}")]
+    return source.groupBy(*keys).agg(*aggregates)
 
 
 def with_group_stats(
-    df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, str],
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with the statistics of their group; rows with a NULL key drop out.
 
-    The statistics (a row per group) are kept in the shared folder first. Their size is then
-    known when the join is planned: below the broadcast threshold the facts are not shuffled
-    at all, above it a shuffled join lets adaptive execution split a heavy group. A window
-    would instead send each whole group to one task.
+    The statistics (a row per group, from ``source`` or else from the rows) are kept in the
+    shared folder first. Their size is then known when the join is planned: below the
+    broadcast threshold the facts are not shuffled at all, above it a shuffled join lets
+    adaptive execution split a heavy group. A window would instead send each whole group to
+    one task.
     """
-    stats = materialize(group_stats(df, keys, measures), "group-stats")
-    return df.join(stats, list(keys), "inner")
+    stats = group_stats(df if source is None else source, keys, measures)
+    return df.join(materialize(stats, "group-stats"), list(keys), "inner")

@@ -21,18 +21,20 @@ MONTHLY_GRAIN = (*PLACE, "year", "month")
 # Daily rain above each bound, in mm.
 RAIN_DAY_BOUNDS = {"rainy": 0, "heavy": 10, "intense": 20}
 
+# Measures whose absence reports filter on, and that have a spread.
+PRESENCE_FLAGS = {"max_temp_c": "has_temp", "precipitation_mm": "has_rain"}
+
 _MARK = "n_rows"
 
 
 def _measure_parts(column: str, spread: bool) -> list[Column]:
-    parts = {
-        "n": F.count(column),
-        "sum": F.sum(column),
-        "min": F.min(column),
-        "max": F.max(column),
-    }
+    parts = {"n": F.count(column), "sum": F.sum(column)}
     if spread:
-        parts["m2"] = F.var_pop(column) * F.count(column)
+        parts |= {
+            "min": F.min(column),
+            "max": F.max(column),
+            "m2": F.var_pop(column) * F.count(column),
+        }
     return [part.alias(f"{column}__{name}") for name, part in parts.items()]
 
 
@@ -45,10 +47,7 @@ def rollup(
     ``presence`` the groups are also told apart by whether temperature and rain are there,
     so that reports with different NULL filters can share one rollup.
     """
-    flags = {
-        "has_temp": F.col("max_temp_c").isNotNull(),
-        "has_rain": F.col("precipitation_mm").isNotNull(),
-    }
+    flags = {flag: F.col(column).isNotNull() for column, flag in PRESENCE_FLAGS.items()}
     measures = [
         c
         for c in (
@@ -63,7 +62,7 @@ def rollup(
     ]
     dated = with_calendar(obs) if {"year", "month"} & set(keys) else obs
     grouped = dated.withColumns(flags).groupBy(*keys, *(flags if presence else ()))
-    parts = [part for c in measures for part in _measure_parts(c, spread=c == "max_temp_c")]
+    parts = [part for c in measures for part in _measure_parts(c, spread=c in PRESENCE_FLAGS)]
     rain_days = [
         F.count_if(F.col("precipitation_mm") > bound).alias(f"{name}_days")
         for name, bound in RAIN_DAY_BOUNDS.items()
@@ -71,15 +70,19 @@ def rollup(
     return grouped.agg(F.count(F.lit(1)).alias(_MARK), *parts, *rain_days)
 
 
+def is_rollup(source: DataFrame) -> bool:
+    """Whether ``source`` holds partials instead of observations."""
+    return _MARK in source.columns
+
+
 def rolled(source: DataFrame, keys: Sequence[str], need: Sequence[str] = ()) -> DataFrame:
     """Partials for a report: from observations at grain ``keys``, or from a rollup as is.
 
     ``need`` names the measures (temperature, rain) that must be present in a row.
     """
-    if _MARK in source.columns:
-        flag = {"max_temp_c": "has_temp", "precipitation_mm": "has_rain"}
+    if is_rollup(source):
         for column in need:
-            source = source.filter(flag[column])
+            source = source.filter(PRESENCE_FLAGS[column])
         return source
     return rollup(require_not_null(source, need) if need else source, keys, presence=False)
 
@@ -114,8 +117,8 @@ def highest(column: str, digits: int = 2) -> Column:
     return F.round(F.max(f"{column}__max"), digits)
 
 
-def deviation(column: str, digits: int = 2) -> Column:
-    """Sample standard deviation, NULL below two values.
+def exact_deviation(column: str) -> Column:
+    """Sample standard deviation, not rounded; NULL below two values, 0 for equal values.
 
     Squares within the parts plus squares between their means.
     """
@@ -123,9 +126,16 @@ def deviation(column: str, digits: int = 2) -> Column:
     count, whole = F.sum(n), F.sum(s)
     between = F.sum(F.try_divide(s * s, n)) - F.try_divide(whole * whole, count)
     squares = F.greatest(F.sum(f"{column}__m2") + between, F.lit(0.0))
-    return F.round(
-        F.when(count > 1, F.sqrt(F.try_divide(squares, count - F.lit(1)))), digits
+    constant = F.min(f"{column}__min") == F.max(f"{column}__max")
+    spread = F.when(constant, F.lit(0.0)).otherwise(
+        F.sqrt(F.try_divide(squares, count - F.lit(1)))
     )
+    return F.when(count > 1, spread)
+
+
+def deviation(column: str, digits: int = 2) -> Column:
+    """Sample standard deviation."""
+    return F.round(exact_deviation(column), digits)
 
 
 def rain_days(kind: str) -> Column:

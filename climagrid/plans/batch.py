@@ -38,8 +38,8 @@ def trusted_observations(docs: DataFrame, locations: DataFrame) -> DataFrame:
 def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
     """All published datasets; None where there is too little data for a model.
 
-    One rollup, kept in the shared folder, feeds every report but the correlations, so the
-    observations are scanned once for them all.
+    One rollup, kept in the shared folder, feeds every report but the correlations and also
+    the anomaly statistics, so the observations are scanned once for them all.
     """
     monthly = materialize(rollup(obs), "monthly-rollup")
     regression = regress_precipitation(obs)
@@ -53,7 +53,7 @@ def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
         "tropical_analysis": reports.tropical_analysis(monthly),
         "clustering_results": cluster_cities(reports.city_features(monthly)),
         "regression_results": regression and regression.predictions,
-        "anomalies": anomalies(obs),
+        "anomalies": anomalies(obs, source=monthly),
         "temporal_patterns": reports.temporal_patterns(monthly),
     }
     return built

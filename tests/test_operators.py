@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from climagrid.operators import anomalies as an
 from climagrid.operators import joins, ordering, quality
 from climagrid.operators import transforms as tr
+from climagrid.operators.rollup import rollup
 from climagrid.plans import batch
 from climagrid.sources.schemas import LOCATION_CSV, WEATHER_DOCUMENT
 from climagrid.sources.scratch import materialize, scratch_path
@@ -187,20 +188,22 @@ def brute_anomalies(rows):
     return found
 
 
+@pytest.mark.parametrize("shared", [False, True])
 @pytest.mark.parametrize("threshold", ["10485760b", "-1"])
-def test_anomalies_against_brute_force(spark, make_obs, threshold):
+def test_anomalies_against_brute_force(spark, make_obs, threshold, shared):
     rng = np.random.default_rng(3)
     rows = [("2022-01-01", "single", 5.0, 1.0), ("2022-02-02", None, 1.0, 1.0)]
     for city, n in (("heavy", 400), ("light", 40), ("flat", 30)):
         for i in range(n):
             day = str(dt.date(2022, 1, 1) + dt.timedelta(days=i % 300))
-            temp = 20.0 if city == "flat" else float(rng.normal(20, 5))
+            temp = 20.1 if city == "flat" else float(rng.normal(20, 5))
             rain = None if i % 7 == 0 else float(rng.exponential(3))
             rows.append((day, city, None if i % 11 == 0 else temp, rain))
     expected = brute_anomalies([r for r in rows if r[1]])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        got = an.anomalies(make_obs(rows)).collect()
+        obs = make_obs(rows)
+        got = an.anomalies(obs, source=rollup(obs) if shared else None).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert Counter((str(r.weather_date), r.city_name) for r in got) == expected
