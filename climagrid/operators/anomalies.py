@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.functions.stats import z_score
-from climagrid.operators.joins import with_group_stats
+from climagrid.operators.joins import BROADCAST_BYTES, with_group_stats
 from climagrid.operators.ordering import sorted_rows
 
 # Measured columns and the prefix of their statistics.
@@ -22,6 +22,7 @@ def anomalies(
     keys: Sequence[str] = ("city_name",),
     threshold: float = 2.0,
     source: DataFrame | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Days on which a measure is more than ``threshold`` deviations from its city's mean.
 
@@ -34,7 +35,8 @@ def anomalies(
         f"{label}_z_score": z_score(column, f"mean_{label}", f"std_{label}")
         for column, label in measures.items()
     }
-    scored = with_group_stats(rows, keys, measures, source).withColumns(scores)
+    placed = with_group_stats(rows, keys, measures, source, broadcast_bytes)
+    scored = placed.withColumns(scores)
     marked = reduce(Column.__or__, [F.abs(F.col(s)) > F.lit(threshold) for s in scores])
     return sorted_rows(
         scored.filter(marked).select("weather_date", *keys, *measures, *scores), "weather_date"

@@ -1,28 +1,69 @@
-"""Joins."""
+"""Joins of observations with smaller tables."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.operators.rollup import exact_deviation, exact_mean, is_rollup
 from climagrid.sources.scratch import materialize
 
+BROADCAST_BYTES = 32 << 20
+SALTS = 16
 
-def join_on_grid(weather: DataFrame, locations: DataFrame) -> DataFrame:
+_ROW_BYTES, _FIELD_BYTES = 32, 16
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Size of a flat table in memory: text by its length, the rest by an upper bound.
+
+    One pass over ``df``, so for dimension and statistics tables.
+    """
+    fixed = F.lit(_ROW_BYTES + _FIELD_BYTES * len(df.columns))
+    texts = [F.octet_length(name) for name, kind in df.dtypes if kind == "string"]
+    row = reduce(Column.__add__, [F.coalesce(t, F.lit(0)) for t in texts], fixed)
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Inner join of many rows with a lookup table, fit for a key that holds most rows.
+
+    The lookup table's size is measured. Up to ``broadcast_bytes`` it is broadcast and the
+    rows stay where they are. Above, both sides are shuffled by the keys and a salt: each row
+    takes one of ``SALTS`` salts, each lookup row comes in all of them. This spreads a heavy
+    key at once, and since no later grouping can build on such a shuffle, adaptive execution
+    remains free to split it further.
+    """
+    if table_bytes(lookup) <= broadcast_bytes:
+        return rows.join(F.broadcast(lookup), list(keys), "inner")
+    # The partition number also spreads copies of one row; a retried task finds it unchanged.
+    spread = F.xxhash64(*rows.columns) + F.spark_partition_id()
+    salted = rows.withColumn("__salt", F.pmod(spread, F.lit(SALTS)).cast("int"))
+    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "__salt"], "inner").drop("__salt")
+
+
+def join_on_grid(
+    weather: DataFrame, locations: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Weather rows with the location(s) of their grid cell.
 
-    An inner equi-join: several locations in a cell each get the cell's weather. No
-    broadcast is forced; Spark broadcasts the locations if they are small, and else runs a
-    shuffled join in which adaptive execution splits a heavy cell.
+    Several locations in a cell each get the cell's weather. ``elevation`` is that of the
+    location.
     """
-    return weather.withColumnRenamed("elevation", "cell_elevation").join(
-        locations,
-        (F.col("latitude") == F.col("location_latitude"))
-        & (F.col("longitude") == F.col("location_longitude")),
-        "inner",
+    cells = locations.withColumns(
+        {"latitude": F.col("location_latitude"), "longitude": F.col("location_longitude")}
+    )
+    return lookup_join(
+        weather.drop("elevation"), cells, ["latitude", "longitude"], broadcast_bytes
     )
 
 
@@ -49,14 +90,14 @@ def with_group_stats(
     keys: Sequence[str],
     measures: Mapping[str, str],
     source: DataFrame | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows with the statistics of their group; rows with a NULL key drop out.
 
     The statistics (a row per group, from ``source`` or else from the rows) are kept in the
-    shared folder first. Their size is then known when the join is planned: below the
-    broadcast threshold the facts are not shuffled at all, above it a shuffled join lets
-    adaptive execution split a heavy group. A window would instead send each whole group to
-    one task.
+    shared folder and joined back. A window would instead send each whole group to one task.
     """
-    stats = group_stats(df if source is None else source, keys, measures)
-    return df.join(materialize(stats, "group-stats"), list(keys), "inner")
+    stats = materialize(
+        group_stats(df if source is None else source, keys, measures), "group-stats"
+    )
+    return lookup_join(df, stats, keys, broadcast_bytes)

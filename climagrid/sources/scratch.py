@@ -37,10 +37,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    This cuts the lineage (a lost executor costs no second scan of the facts), and Spark
-    then knows the real size of the result: it broadcasts it in a join below
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles above, without a forced hint.
-    A cluster session without ``spark.checkpoint.dir`` keeps the lazy plan instead.
+    This cuts the lineage, so that neither a second use nor a lost executor costs another scan
+    of the facts. A cluster session without ``spark.checkpoint.dir`` keeps the lazy plan.
     """
     spark = df.sparkSession
     if _shared_folder(spark) is None:

@@ -143,6 +143,9 @@ def test_observations_by_year(spark, several_years, tmp_path):
         "weather_year=__HIVE_DEFAULT_PARTITION__",
     }
     assert rows(io.read_observations(spark, path)) == rows(several_years)
+    for file in (tmp_path / "trusted" / "weather_year=2020").glob("*.parquet"):
+        days = [r.weather_date for r in spark.read.parquet(str(file)).collect()]
+        assert days == sorted(days)
     span = io.read_observations(spark, path, "2020-02-01", "2020-03-31")
     assert rows(span) == rows(
         several_years.filter("weather_date between '2020-02-01' and '2020-03-31'")

@@ -70,7 +70,8 @@ def test_two_locations_in_a_cell_both_get_its_weather(spark):
     )
 
 
-def test_the_grid_join_survives_a_heavy_cell_without_broadcast(spark):
+@pytest.mark.parametrize("broadcast_bytes", [joins.BROADCAST_BYTES, 0])
+def test_grid_join_with_a_heavy_cell(spark, broadcast_bytes):
     weather = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0.125).otherwise(F.col("id") * 0.125).alias("latitude"),
         F.lit(0.0).alias("longitude"),
@@ -78,15 +79,37 @@ def test_the_grid_join_survives_a_heavy_cell_without_broadcast(spark):
     places = spark.range(3000).select(
         F.col("id").cast("int").alias("location_id"),
         (F.col("id") * 0.125).alias("location_latitude"),
-        F.lit(0.0).alias("location_longitude"),
+        F.lit(-0.0).alias("location_longitude"),
     )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = joins.join_on_grid(weather, places, broadcast_bytes)
+    assert joined.count() == 3000
+    assert joined.filter("location_id = 1").count() == 1001
+    assert "__salt" not in joined.columns
+
+
+def test_copies_of_a_row_spread_over_the_salted_join(spark):
+    rows = spark.range(0, 16000, 1, 32).select(F.lit("a").alias("k"), F.lit(1.0).alias("v"))
+    lookup = spark.createDataFrame([("a", 2.0), ("b", 3.0)], "k string, w double")
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        joined = joins.join_on_grid(weather, places)
-        assert joined.count() == 3000
-        assert joined.filter("location_id = 1").count() == 1001
+        joined = joins.lookup_join(rows, lookup, ["k"], broadcast_bytes=0)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in settings:
+            spark.conf.unset(key)
+    assert sum(s["count"] for s in sizes) == 16000
+    assert len(sizes) > 3 and max(s["count"] for s in sizes) < 8000
+
+
+def test_table_bytes(spark):
+    df = spark.createDataFrame([("é" * 50, 1), (None, 2)], "t string, n int")
+    assert joins.table_bytes(df) == 100 + 2 * (32 + 2 * 16)
+    assert joins.table_bytes(df.filter("false")) == 0
 
 
 def test_null_filters(spark):
@@ -189,8 +212,8 @@ def brute_anomalies(rows):
 
 
 @pytest.mark.parametrize("shared", [False, True])
-@pytest.mark.parametrize("threshold", ["10485760b", "-1"])
-def test_anomalies_against_brute_force(spark, make_obs, threshold, shared):
+@pytest.mark.parametrize("broadcast_bytes", [joins.BROADCAST_BYTES, 0])
+def test_anomalies_against_brute_force(make_obs, broadcast_bytes, shared):
     rng = np.random.default_rng(3)
     rows = [("2022-01-01", "single", 5.0, 1.0), ("2022-02-02", None, 1.0, 1.0)]
     for city, n in (("heavy", 400), ("light", 40), ("flat", 30)):
@@ -200,12 +223,9 @@ def test_anomalies_against_brute_force(spark, make_obs, threshold, shared):
             rain = None if i % 7 == 0 else float(rng.exponential(3))
             rows.append((day, city, None if i % 11 == 0 else temp, rain))
     expected = brute_anomalies([r for r in rows if r[1]])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        obs = make_obs(rows)
-        got = an.anomalies(obs, source=rollup(obs) if shared else None).collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    obs = make_obs(rows)
+    source = rollup(obs) if shared else None
+    got = an.anomalies(obs, source=source, broadcast_bytes=broadcast_bytes).collect()
     assert Counter((str(r.weather_date), r.city_name) for r in got) == expected
     assert [r.weather_date for r in got] == sorted(r.weather_date for r in got)
     assert all(r.temp_z_score is None for r in got if r.city_name == "flat")
