@@ -186,21 +186,21 @@ RAIN_PROFILE = f"""SELECT city_name, country, {rnd(f'AVG({T})')} AS temperatura_
     {case(f'AVG({P})', WET_CLASSES, 'Clima Seco', '>')} AS clasificacion_humedad
     {WITH_TEMP} GROUP BY city_name, country"""
 
-BUCKET = """CAST('0x' || SUBSTR(MD5(CONCAT_WS('|', '42', city_name,
-    CAST(location_id AS VARCHAR), CAST(weather_date AS VARCHAR))), 1, 8) AS BIGINT) % 10000"""
+IN_TRAINING = """SUBSTR(MD5(CONCAT_WS('|', '42', city_name, CAST(location_id AS VARCHAR),
+    CAST(weather_date AS VARCHAR))), 1, 8) < 'cccccccd'"""
 
 # Least squares with two regressors in closed form.
 REGRESSION = {
-    "rows_both": f"""SELECT {T} AS x, month AS m, {P} AS y, city_name, year, {BUCKET} AS b
+    "rows_both": f"""SELECT {T} AS x, month AS m, {P} AS y, city_name, year, {IN_TRAINING} AS training
         FROM dated WHERE {T} IS NOT NULL AND {P} IS NOT NULL""",
     "moments": """SELECT AVG(x) AS ax, AVG(m) AS am, AVG(y) AS ay, VAR_POP(x) AS vx,
         VAR_POP(m) AS vm, COVAR_POP(x, m) AS xm, COVAR_POP(x, y) AS xy, COVAR_POP(m, y) AS my
-        FROM rows_both WHERE b < 8000""",
+        FROM rows_both WHERE training""",
     "slopes": """SELECT *, (xy * vm - my * xm) / (vx * vm - xm * xm) AS bx,
         (my * vx - xy * xm) / (vx * vm - xm * xm) AS bm FROM moments""",
     "predicted": """SELECT x AS temperature, y AS precipitation, city_name, m AS month, year,
         ay + bx * (x - ax) + bm * (m - am) AS prediction
-        FROM rows_both CROSS JOIN slopes WHERE b >= 8000""",
+        FROM rows_both CROSS JOIN slopes WHERE NOT training""",
 }
 
 
@@ -362,7 +362,7 @@ ORACLE: dict[str, str] = {
         f"SELECT {CITY_CASE} AS label, COUNT(*) AS row_count FROM obs GROUP BY ALL"
     ),
     "train_test_split": on_obs(
-        f"""SELECT city_name, CASE WHEN {BUCKET} < 8000 THEN 'train' ELSE 'test' END AS side,
+        f"""SELECT city_name, CASE WHEN {IN_TRAINING} THEN 'train' ELSE 'test' END AS side,
         COUNT(*) AS row_count FROM obs GROUP BY ALL"""
     ),
     "correlation_filter": on_obs(

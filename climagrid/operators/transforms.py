@@ -12,8 +12,6 @@ from climagrid.functions.dates import parse_date
 from climagrid.functions.grid import as_column, snap_to_grid
 from climagrid.operators.ordering import sorted_rows
 
-_SPLIT_BUCKETS = 10_000
-
 # Columns of a time series for display.
 SERIES_COLUMNS = (
     "weather_date",
@@ -112,20 +110,20 @@ def project(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(source).alias(name) for name, source in mapping.items()])
 
 
-def split_bucket(*keys: str | Column, seed: int = 42) -> Column:
-    """Bucket 0..9999 of a row, from the MD5 of its keys.
-
-    It depends on the keys alone, so a retried or repartitioned job splits the same way,
-    which ``randomSplit`` does not promise.
-    """
+def split_digest(*keys: str | Column, seed: int = 42) -> Column:
+    """Eight hexadecimal digits that depend on the row's keys and the seed alone."""
     text = F.concat_ws("|", F.lit(seed), *[as_column(k).cast("string") for k in keys])
-    digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10)
-    return digest.cast("long") % F.lit(_SPLIT_BUCKETS)
+    return F.substring(F.md5(text.cast("binary")), 1, 8)
 
 
 def split(
     df: DataFrame, *keys: str | Column, frac: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """About ``frac`` of the rows and the others; rows with equal keys stay together."""
-    inside = split_bucket(*keys, seed=seed) < F.lit(round(frac * _SPLIT_BUCKETS))
+    """About ``frac`` of the rows and the others; rows with equal keys stay together.
+
+    A retried or repartitioned job splits the same way, which ``randomSplit`` does not promise.
+    """
+    if not 0 <= frac < 1:
+        raise ValueError(f"frac must be at least 0 and below 1, not {frac}")
+    inside = split_digest(*keys, seed=seed) < F.lit(f"{round(frac * 16**8):08x}")
     return df.filter(inside), df.filter(~inside)

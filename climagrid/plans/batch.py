@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from climagrid.operators.anomalies import anomalies
 from climagrid.operators.joins import join_on_grid
-from climagrid.operators.rollup import rollup
+from climagrid.operators.rollup import MONTHLY_GRAIN, rollup
 from climagrid.operators.transforms import explode_daily, prepare_locations, snap_documents
 from climagrid.plans import reports
 from climagrid.plans.catalog import DATASETS
-from climagrid.plans.models import cluster_cities, regress_precipitation
+from climagrid.plans.models import (
+    choose_k,
+    cluster_cities,
+    predict_temperature,
+    regress_precipitation,
+)
 from climagrid.sources.readers import (
     read_locations_csv,
     read_observations,
@@ -43,7 +47,7 @@ def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
     """
     monthly = materialize(rollup(obs), "monthly-rollup")
     regression = regress_precipitation(obs)
-    built = {
+    return {
         "correlations": reports.correlations(obs),
         "monthly_analysis": reports.monthly_analysis(monthly),
         "seasonal_analysis": reports.seasonal_analysis(monthly),
@@ -56,7 +60,24 @@ def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
         "anomalies": anomalies(obs, source=monthly),
         "temporal_patterns": reports.temporal_patterns(monthly),
     }
-    return built
+
+
+def extended_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
+    """The older set of datasets, for observations that also have lowest temperature, humidity
+    and coordinates; None where there is too little data for a model.
+    """
+    coordinates = ("location_latitude", "location_longitude")
+    monthly = materialize(rollup(obs, (*MONTHLY_GRAIN, *coordinates)), "monthly-rollup")
+    clusters = choose_k(reports.city_features(monthly, geo=True))
+    temperature = predict_temperature(obs)
+    return {
+        "monthly_analysis": reports.monthly_analysis(monthly, extended=True),
+        "extreme_cities": reports.extreme_cities(monthly, scale="global"),
+        "seasonal_analysis": reports.seasonal_analysis(monthly, "temperate"),
+        "correlations": reports.humidity_correlations(obs),
+        "clustering_results": clusters and clusters.predictions,
+        "temperature_predictions": temperature and temperature.predictions,
+    }
 
 
 def run_batch(

@@ -171,7 +171,7 @@ def regress_precipitation(
     however many observations there are.
     """
     rows = regression_rows(obs)
-    if rows.limit(MIN_REGRESSION_ROWS).count() < MIN_REGRESSION_ROWS:
+    if len(rows.select(F.lit(1)).take(MIN_REGRESSION_ROWS)) < MIN_REGRESSION_ROWS:
         return None
     train, test = split(rows, *keys, frac=TRAIN_FRACTION, seed=SEED)
     folded = train.groupBy("temperature", "month", "precipitation").agg(

@@ -3,6 +3,7 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from climagrid import sources as io
 from climagrid.operators import transforms as tr
@@ -65,8 +66,6 @@ def test_valid_documents(spark, raw):
 
 @pytest.mark.parametrize("by_city", [False, True])
 def test_landed_documents_read_back(spark, raw, tmp_path, by_city):
-    from pyspark.sql import functions as F
-
     valid, _ = io.split_valid_documents(io.read_weather_json(spark, raw[0]))
     root = str(tmp_path / "landed")
     io.write_raw_json(valid.withColumn("city", F.lit("San Juan")), root, by_city=by_city)
@@ -155,6 +154,19 @@ def test_observations_by_year(spark, several_years, tmp_path):
     assert "PushedFilters: [IsNotNull(weather_date)" in plan
 
 
+def test_a_heavy_year_is_split_over_files(spark, make_obs, tmp_path):
+    day = make_obs([("2022-05-05", "A", 1.0, 1.0)]).first().asDict()
+    values = {c: F.lit(v) for c, v in day.items()} | {"max_temp_c": F.rand(1)}
+    heavy = spark.range(0, 50000, 1, 16).select(*[v.alias(c) for c, v in values.items()])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    try:
+        io.write_observations(heavy, str(tmp_path / "trusted"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "trusted" / "weather_year=2022").glob("*.parquet"))) > 3
+    assert io.read_observations(spark, str(tmp_path / "trusted")).count() == 50000
+
+
 def test_observations_in_global_order(spark, several_years, tmp_path):
     path = str(tmp_path / "trusted")
     io.write_observations(several_years, path, ordered=True)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from climagrid.operators.transforms import split
-from climagrid.plans import models
+from climagrid.plans import batch, models, reports
 
 
 @pytest.fixture(scope="module")
@@ -162,3 +162,27 @@ def test_elastic_net(year):
     y = np.array([r.max_temp_c for r in rows])
     assert net.coefficients.toArray() == pytest.approx(elastic_net(x, y, 0.1, 0.8), abs=1e-3)
     assert fitted.predictions.count() + len(rows) == complete.count()
+
+
+def test_extended_datasets(year):
+    obs = year.withColumns(
+        {
+            "country": F.lit("X"),
+            "min_temp_c": F.col("max_temp_c") - 5,
+            "population": F.lit(1),
+            "elevation": F.lit(1.0),
+        }
+    )
+    built = batch.extended_datasets(obs)
+    direct = {
+        "monthly_analysis": reports.monthly_analysis(obs, extended=True),
+        "extreme_cities": reports.extreme_cities(obs, scale="global"),
+        "seasonal_analysis": reports.seasonal_analysis(obs, "temperate"),
+        "correlations": reports.humidity_correlations(obs),
+    }
+    for name, df in direct.items():
+        for one, other in zip(built[name].collect(), df.collect(), strict=True):
+            assert one.asDict() == pytest.approx(other.asDict(), abs=0.011)
+    features = reports.city_features(obs, geo=True)
+    assert built["clustering_results"].count() == features.count() == 35
+    assert built["temperature_predictions"].count() > 100
