@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from climagrid.functions.grid import as_column
-
 _COPIES_PER_CHUNK = 1_000_000
 
 
@@ -34,8 +32,10 @@ def sorted_rows(df: DataFrame, *keys: str | Column) -> DataFrame:
     in_chunk = F.least(
         F.lit(_COPIES_PER_CHUNK), F.col("__copies") - F.col("__chunk") * _COPIES_PER_CHUNK
     ).cast("int")
+    by_name = {key for key in keys if isinstance(key, str)}
+    ties = [c for c in columns if c not in by_name]
     return (
-        chunks.orderBy(*map(as_column, keys), *columns, "__chunk")
+        chunks.orderBy(*keys, *ties, "__chunk")
         .select(*columns, F.explode(F.array_repeat(F.lit(True), in_chunk)).alias("__copy"))
         .drop("__copy")
     )

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from climagrid import sources as io
+from climagrid.__main__ import main
 from climagrid.operators import transforms as tr
-from climagrid.plans import batch, catalog, reports
+from climagrid.plans import catalog, reports
 from climagrid.sources import readers
 from climagrid.sources.schemas import LOCATION_COLUMNS, OBSERVATION_COLUMNS
 
@@ -206,9 +207,7 @@ def test_export(spark, several_years, tmp_path):
 @pytest.fixture(scope="module")
 def refined(spark, raw, tmp_path_factory):
     root = tmp_path_factory.mktemp("zones")
-    folders = batch.run_batch(
-        spark, *raw, str(root / "trusted"), str(root / "refined"), table="batch_obs"
-    )
+    folders = main([*raw, str(root / "trusted"), str(root / "refined"), "--table", "batch_obs"])
     return str(root / "trusted"), str(root / "refined"), folders
 
 
