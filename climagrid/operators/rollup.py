@@ -28,7 +28,8 @@ _MARK = "n_rows"
 
 
 def _measure_parts(column: str, spread: bool) -> list[Column]:
-    parts = {"n": F.count(column), "sum": F.sum(column)}
+    # Sums run in double, as avg does: an integer sum could overflow in a heavy group.
+    parts = {"n": F.count(column), "sum": F.sum(F.col(column).cast("double"))}
     if spread:
         parts |= {
             "min": F.min(column),

@@ -12,6 +12,7 @@ from climagrid.operators import joins, ordering, quality
 from climagrid.operators import transforms as tr
 from climagrid.operators.rollup import rollup
 from climagrid.plans import batch
+from climagrid.sources import scratch
 from climagrid.sources.schemas import LOCATION_CSV, WEATHER_DOCUMENT
 from climagrid.sources.scratch import materialize, scratch_path
 
@@ -273,7 +274,29 @@ def test_row_distribution_order(spark):
 
 def test_materialize_lands_in_the_shared_folder(spark):
     kept = materialize(spark.range(5), "numbers")
-    root = spark.conf.get("spark.checkpoint.dir")
-    assert all(root in path for path in kept.inputFiles())
+    root = scratch_path(spark, "numbers").rsplit("/", 1)[0]
     assert kept.count() == 5
-    assert scratch_path(spark, "x").startswith(root)
+    assert all(root in path for path in kept.inputFiles())
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or root.startswith(named)
+
+
+class Session:
+    """As much of a session as the scratch area asks for."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_scratch_folder_of_each_kind_of_session(spark, monkeypatch):
+    cluster = Session(spark_master="yarn", spark_app_id="c")
+    named = Session(spark_master="yarn", spark_app_id="n", spark_checkpoint_dir="s3://b/x/")
+    local = Session(spark_master="local[2]", spark_app_id="l")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(cluster, "t")
+    assert scratch_path(named, "t").startswith("s3://b/x/climagrid/t-")
+    first, second = scratch_path(local, "t"), scratch_path(local, "t")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    monkeypatch.setattr(scratch, "_shared_folder", lambda session: None)
+    df = spark.range(3)
+    assert materialize(df, "t") is df

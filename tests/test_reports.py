@@ -147,3 +147,10 @@ def test_reports_read_only_what_they_need(spark, tmp_path, mixed):
     assert {c.split(":")[0] for c in schema.split(",")} == {"city_name", "country", "max_temp_c"}
     assert "IsNotNull(max_temp_c)" in plan
     assert plan.count("hashpartitioning") == 1
+
+
+def test_large_populations_do_not_overflow(spark, make_obs):
+    obs = make_obs([("2022-01-01", "c", 1.0, 1.0)] * 40, population=2_000_000_000)
+    assert reports.city_features(obs).first().avg_population == 2_000_000_000.0
+    part = rollup(obs).select("population__sum")
+    assert part.dtypes == [("population__sum", "double")]
