@@ -211,7 +211,8 @@ def profile(columns: dict[str, str]) -> str:
         missing = f"COUNT(*) FILTER (WHERE {name} IS NULL{nan})"
         rows.append(
             f"""SELECT COUNT(*) AS total_rows, '{name}' AS column_name, '{kind}' AS column_type,
-            {missing} AS null_count, {rnd(f'{missing} * 100.0 / COUNT(*)')} AS null_pct FROM obs"""
+            {missing} AS null_count, {rnd(f'{missing} * 100.0 / COUNT(*)')} AS null_pct
+            FROM obs"""
         )
     return on_obs("\nUNION ALL\n".join(rows))
 

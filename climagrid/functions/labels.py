@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,8 +65,11 @@ SEASONS = {
 
 
 def _first_match(branches: Sequence[tuple[Column, str]], default: str | None) -> Column:
-    chain = reduce(lambda acc, b: acc.when(b[0], F.lit(b[1])), branches, F)
-    return chain.otherwise(F.lit(default)) if default is not None else chain
+    (condition, label), *others = branches
+    chain = F.when(condition, F.lit(label))
+    for condition, label in others:
+        chain = chain.when(condition, F.lit(label))
+    return chain if default is None else chain.otherwise(F.lit(default))
 
 
 def classify(

@@ -21,6 +21,16 @@ MONTHLY_GRAIN = (*PLACE, "year", "month")
 # Daily rain above each bound, in mm.
 RAIN_DAY_BOUNDS = {"rainy": 0, "heavy": 10, "intense": 20}
 
+# Measured columns; those that a table lacks are left out.
+MEASURES = (
+    "max_temp_c",
+    "precipitation_mm",
+    "elevation",
+    "population",
+    "min_temp_c",
+    "humidity_percent",
+)
+
 # Measures whose absence reports filter on, and that have a spread.
 PRESENCE_FLAGS = {"max_temp_c": "has_temp", "precipitation_mm": "has_rain"}
 
@@ -49,18 +59,7 @@ def rollup(
     so that reports with different NULL filters can share one rollup.
     """
     flags = {flag: F.col(column).isNotNull() for column, flag in PRESENCE_FLAGS.items()}
-    measures = [
-        c
-        for c in (
-            "max_temp_c",
-            "precipitation_mm",
-            "elevation",
-            "population",
-            "min_temp_c",
-            "humidity_percent",
-        )
-        if c in obs.columns
-    ]
+    measures = [c for c in MEASURES if c in obs.columns]
     dated = with_calendar(obs) if {"year", "month"} & set(keys) else obs
     grouped = dated.withColumns(flags).groupBy(*keys, *(flags if presence else ()))
     parts = [part for c in measures for part in _measure_parts(c, spread=c in PRESENCE_FLAGS)]

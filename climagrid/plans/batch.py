@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from climagrid.operators.anomalies import anomalies
@@ -26,6 +28,8 @@ from climagrid.sources.schemas import OBSERVATION_COLUMNS
 from climagrid.sources.scratch import materialize
 from climagrid.sources.writers import load_table, save_dataset, write_observations
 
+CONCURRENT_WRITES = 4
+
 
 def trusted_observations(docs: DataFrame, locations: DataFrame) -> DataFrame:
     """Observations of all locations from raw documents and raw location rows.
@@ -91,15 +95,17 @@ def run_batch(
 ) -> dict[str, str]:
     """Raw files to trusted observations to refined datasets; returns the datasets' folders.
 
-    ``table`` also loads the observations into a catalog table.
+    ``table`` also loads the observations into a catalog table. The datasets do not depend on
+    each other, so a few are written at a time and the tail of one job leaves no idle cores.
     """
     docs = read_weather_json(spark, weather, multi_line)
     write_observations(trusted_observations(docs, read_locations_csv(spark, locations)), trusted)
     obs = read_observations(spark, trusted)
     if table is not None:
         load_table(obs, table)
-    return {
-        name: save_dataset(df, refined, DATASETS[name], name)
-        for name, df in refined_datasets(obs).items()
-        if df is not None
-    }
+    built = {name: df for name, df in refined_datasets(obs).items() if df is not None}
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        folders = pool.map(
+            lambda name: save_dataset(built[name], refined, DATASETS[name], name), built
+        )
+        return dict(zip(built, folders, strict=True))

@@ -30,9 +30,10 @@ def _placed(spark: SparkSession, sf_dir: str, suppliers: DataFrame) -> DataFrame
     Joined one table after the other, each side is a plain scan: Spark knows its file size
     and decides on that whether to broadcast it.
     """
-    return suppliers.join(
-        _table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    ).join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nation, region = (_table(spark, sf_dir, name) for name in ("nation", "region"))
+    return suppliers.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
 
 
 def _unless(cond: Column, value: Column) -> Column:
@@ -71,7 +72,9 @@ def _derived(spark: SparkSession, sf_dir: str, extended: bool) -> DataFrame:
             "humidity_percent": _unless(
                 line == 3, 40 + _percent("l_tax") * 5 - _percent("l_discount") * 1.5
             ),
-            "location_latitude": F.col("n_nationkey") * 0.5 - 6 + F.col("s_suppkey") % 3 * 0.125,
+            "location_latitude": F.col("n_nationkey") * 0.5
+            - 6
+            + F.col("s_suppkey") % 3 * 0.125,
             "location_longitude": F.col("r_regionkey") * 10.0
             - 70
             - F.col("s_suppkey") % 2 * 0.125,

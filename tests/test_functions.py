@@ -111,7 +111,8 @@ def test_correlation(spark):
 
 
 def test_z_score_without_spread(spark):
-    df = spark.createDataFrame([(1.0, 1.0, 0.0), (3.0, 1.0, 2.0), (3.0, 1.0, None)], "v double, m double, s double")
+    rows = [(1.0, 1.0, 0.0), (3.0, 1.0, 2.0), (3.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "v double, m double, s double")
     assert values(df.select(fn.z_score("v", "m", "s").alias("z")), "z") == [None, 1.0, None]
 
 
