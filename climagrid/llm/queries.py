@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import bpe, chat, line_dedup, packing
+from climagrid.llm import bpe, chat, line_dedup, minhash, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +110,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
     AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near duplicates."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_near_duplicates"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * c >= 75 * (n - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a
+), smallest AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN smallest USING (doc_id)
+"""
