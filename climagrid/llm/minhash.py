@@ -41,20 +41,27 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
-def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's word shingles."""
-    found = text.encode().lower().split()  # of bytes: A-Z and the ASCII blanks only
-    if not found:
-        return np.empty(0, np.int64)
-    codes = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
-    size = min(words, len(found))
-    count = len(found) - size + 1
+def word_codes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """The 64-bit hash of each window of ``size`` words."""
+    count = len(codes) - size + 1
     folded = np.full(count, size, np.uint64)
     for i in range(size):
         folded = folded * _FACTOR + codes[i : i + count]
     folded = (folded ^ (folded >> np.uint64(30))) * _MIX[0]
     folded = (folded ^ (folded >> np.uint64(27))) * _MIX[1]
-    return np.unique((folded ^ (folded >> np.uint64(31))).view(np.int64))
+    return (folded ^ (folded >> np.uint64(31))).view(np.int64)
+
+
+def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's word shingles."""
+    found = text.encode().lower().split()  # of bytes: A-Z and the ASCII blanks only
+    if not found:
+        return np.empty(0, np.int64)
+    return np.unique(window_hashes(word_codes(found), min(words, len(found))))
 
 
 def _sets(docs: DataFrame, words: int, keep: int | None) -> DataFrame:

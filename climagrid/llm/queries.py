@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import bpe, chat, line_dedup, minhash, packing
+from climagrid.llm import bpe, chat, line_dedup, minhash, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,3 +146,11 @@ WITH RECURSIVE words AS (
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN smallest USING (doc_id)
 """
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's statistics and verdict."""
+    n_words, *rest = quality.STATISTICS
+    verdicts = quality.quality_verdicts(_table(spark, sf_dir, "documents"))
+    return verdicts.select("doc_id", n_words, *rest, "base_failed", "kept")
