@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import bpe, chat, line_dedup, minhash, packing, quality
+from climagrid.llm import bpe, chat, license_scan, line_dedup, minhash, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,3 +154,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_words, *rest = quality.STATISTICS
     verdicts = quality.quality_verdicts(_table(spark, sf_dir, "documents"))
     return verdicts.select("doc_id", n_words, *rest, "base_failed", "kept")
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and notices."""
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
