@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import bpe, chat, license_scan, line_dedup, minhash, packing, quality
+from climagrid.llm import bpe, chat, license_scan, line_dedup, minhash, neighbours, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,3 +160,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's license phrases and notices."""
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten neighbours of every hundredth vector."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
