@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import bpe, chat, license_scan, line_dedup, minhash, neighbours, packing, quality, surrogates
+from climagrid.llm import bpe, chat, cotraining, license_scan, line_dedup, minhash, neighbours, packing, quality, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,3 +177,11 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with surrogates for its personal data."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.replace_entities(docs, SURROGATE_KEY)
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by two co-trained views."""
+    return cotraining.quality_scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )

@@ -1,12 +1,75 @@
-"""The operators chained over ``documents``: each stage is written and read again by the next."""
+"""The training-data operators chained over ``documents``.
+
+Each stage works on all that the one before it kept; ``run`` writes every result to the shared folder
+and reads it for the next. The stages in turn drop documents of bad quality, drop lines that an
+earlier document has, keep one document of each group of near duplicates, replace personal data, and
+pack the rest into token sequences.
+
+Rows that share a ``doc_id`` are one document: they stay or go together. Null ids, null and empty
+texts, further columns and empty tables are treated as the operators say.
+"""
 
 from __future__ import annotations
 
+import os
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from climagrid.llm import line_dedup, minhash, packing, quality, surrogates
+from climagrid.operators.joins import BROADCAST_BYTES, table_bytes
+from climagrid.sources.scratch import materialize, scratch_path
+
+#: Key of the surrogates; set it to a secret of one's own to keep them from being recomputed.
+KEY_VARIABLE = "CORPUS_SURROGATE_KEY"
+
+
+def _of_kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The documents whose id is kept; their ids are broadcast if they are small when measured."""
+    ids = verdicts.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    ids = materialize(ids, "kept-ids")
+    if table_bytes(ids) <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+
+
+def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of documents whose text has changed, with ``n_chars`` as it is now."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    return docs.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _of_kept(docs, quality.quality_verdicts(docs))
+
+
+def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _with_length(line_dedup.dedup_lines(docs), docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _of_kept(docs, minhash.near_duplicates(docs))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    key = os.environ.get(KEY_VARIABLE, "public key")
+    return _with_length(surrogates.replace_entities(docs, key), docs.columns)
+
+
+def token_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(docs, path).withColumn("ids_crc32", F.crc32("ids"))
 
-from climagrid.sources.scratch import scratch_path
 
-STAGES = []
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", shared_lines),
+    ("near duplicates", near_duplicates),
+    ("personal data", personal_data),
+    ("packing", token_sequences),
+]
 
 #: The quality verdict, the surrogates and the token ids cannot be written in SQL.
 ORACLE_SQL = None
@@ -15,7 +78,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
