@@ -21,6 +21,8 @@ PERCENT = 75
 K = 64
 #: Fewer shared values than this among k have a probability below 1e-10 at 75 percent.
 LEAST_SHARED = 24
+#: Pairs left for each posting at which pivots give way to comparing them all.
+_ENUMERATED = 2
 #: Word hashes a worker keeps before it starts anew.
 TABLE_ENTRIES = 1_000_000
 
@@ -232,7 +234,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, turns: int = 6) -> Data
         left = _pairs_left(open_lists)
         if not left:
             break
-        last = turn == turns or left <= 2 * size
+        last = turn == turns or left <= _ENUMERATED * size
         pairs = _all_pairs(open_lists) if last else _stars(open_lists, turn)
         found = materialize(_linked(materialize(pairs, "pairs"), sketches, sets), "links")
         edges = materialize(edges.union(found), "links")
