@@ -116,8 +116,9 @@ def quality_scores(
     labelled rows (a logistic regression of its own), and another over both combines them.
 
     The fits use bounded samples: ``LABELLED`` labelled and ``POOL`` unlabelled rows, chosen by hash
-    of the id. Scores cover all rows and whole texts. Rows whose label is null are unlabelled. If one
-    class, or any label, is missing, every score is the share of the class 1 (0.5 without labels).
+    of the id. Scores cover all rows and whole texts. Rows whose label is null are unlabelled. If
+    labelled documents of one class, or any, are missing, every score is the share of class 1 among
+    them (0.5 without any).
 
     Null texts are empty; null ids are scored but never used for fitting; repeated ids each give a
     row. Null or missing ``source`` and ``lang`` are values like others. Other columns are ignored; an
@@ -128,12 +129,6 @@ def quality_scores(
         F.max(F.col(target).cast("double")).alias("label")
     )
     chosen = materialize(_first(known.withColumnRenamed("label_id", "doc_id"), LABELLED), "labelled-ids")
-    sums = chosen.agg(F.count("*"), F.sum("label")).first()
-    if not sums[0] or sums[1] in (0, sums[0]):
-        share = sums[1] / sums[0] if sums[0] else 0.5
-        fixed = [F.lit(share).alias(n) for n in ("text_score", "page_score", "score")]
-        return docs.select(F.col("doc_id").cast("bigint"), *fixed, F.lit(share >= 0.5).alias("kept"))
-
     # Both samples are bounded; their ids are found first, so only their rows become vectors.
     unlabelled = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL")
     unlabelled = unlabelled.join(known, F.col("doc_id") == F.col("label_id"), "left_anti")
@@ -144,8 +139,15 @@ def quality_scores(
     vectors = _views(picked).dropDuplicates(["doc_id"]).join(F.broadcast(ids), "doc_id")
     sample = materialize(vectors.coalesce(8), "sample")
     labelled = sample.where("label IS NOT NULL")
+    sums = labelled.agg(F.count("*"), F.sum("label")).first()
+    if not sums[0] or sums[1] in (0, sums[0]):
+        share = sums[1] / sums[0] if sums[0] else 0.5
+        fixed = [F.lit(share).alias(n) for n in ("text_score", "page_score", "score")]
+        return docs.select(F.col("doc_id").cast("bigint"), *fixed, F.lit(share >= 0.5).alias("kept"))
     held_out = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(HELD_OUT)) == 0
     train, held = labelled.where(~held_out), labelled.where(held_out)
+    if train.select("label").distinct().count() < 2:
+        train = labelled
     pool = sample.where("label IS NULL").drop("label")
 
     taught = {"text_view": train, "page_view": train}

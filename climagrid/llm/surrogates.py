@@ -31,7 +31,7 @@ _SYLLABLES = {
     "greek": "βα βε βο γα γε γο δα δε δο κα κε κο λα λε λο μα με μο να νε νο ρα ρε ρο".split(),
 }
 
-_ADDRESS = "(?:" + "|".join(a for names in ADDRESS.values() for a in names) + ")"
+_ADDRESS = "(?:" + "|".join(b for n in ADDRESS.values() for a in n for b in (a, a.upper())) + ")"
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 
 PATTERNS = {
@@ -115,7 +115,7 @@ def _mentions(raw: DataFrame) -> DataFrame:
     prefix = F.when(F.col("kind") == "secret", label).when(F.col("kind") == "name", address)
     named = named.withColumn("prefix", F.coalesce(prefix, F.lit("")))
     rest = F.substring(text, F.length("prefix") + 1, F.length(text))
-    women = F.regexp_replace(F.col("prefix"), "[. ]", "").isin(ADDRESS["f"])
+    women = F.upper(F.regexp_replace("prefix", "[. ]", "")).isin([a.upper() for a in ADDRESS["f"]])
     number = _digits(text)
     # A leading 1 before ten digits is a country code, given or not.
     national = F.when((F.length(number) == 11) & number.startswith("1"), F.substring(number, 2, 10))
@@ -255,7 +255,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     )
     matched = matched.withColumn("__list", F.sha2(F.concat_ws("\1", "__found"), 256))
     lists = matched.groupBy("__list").agg(F.first("__found").alias("found"))
-    lists = materialize(lists.select(F.col("__list").alias("list"), "found"), "mention-lists")
+    lists = materialize(lists.select(F.col("__list").alias("__mentions"), "found"), "mention-lists")
     raw = lists.select(F.explode("found").alias("raw")).groupBy("raw").agg(F.lit(1).alias("one"))
     mentions = materialize(_mentions(raw.select("raw")), "mentions")
     entities = mentions.where("kind IS NOT NULL").select("kind", "entity").distinct()
@@ -264,14 +264,14 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         "raw", _written(F.col("raw"), F.col("kind"), F.col("prefix"), F.col("new")).alias("new")
     )
     named = materialize(named, "replacements")
-    placed = lists.select("list", F.posexplode("found").alias("pos", "raw")).join(named, "raw", "left")
-    placed = placed.select("list", "pos", F.coalesce("new", "raw").alias("new"), F.col("new").isNotNull().alias("hit"))
-    replaced = placed.groupBy("list").agg(
+    placed = lists.select("__mentions", F.posexplode("found").alias("pos", "raw")).join(named, "raw", "left")
+    placed = placed.select("__mentions", "pos", F.coalesce("new", "raw").alias("new"), F.col("new").isNotNull().alias("hit"))
+    replaced = placed.groupBy("__mentions").agg(
         F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("__new"),
         F.sum(F.col("hit").cast("bigint")).alias("__hits"),
     )
     replaced = materialize(replaced, "replacement-lists")
-    joined = matched.join(replaced, F.col("__list") == F.col("list"))
+    joined = matched.join(replaced, F.col("__list") == F.col("__mentions"))
     between = F.split(text, ANY, -1)
     news = F.concat(F.col("__new.new"), F.array(F.lit("")))
     whole = F.array_join(F.zip_with(between, news, lambda a, b: F.concat(a, b)), "")

@@ -1,0 +1,148 @@
+"""Nearest neighbours, license scan and surrogates."""
+
+import re
+
+import numpy as np
+import pandas as pd
+from brute import AWKWARD, SCHEMA, awkward
+
+from climagrid.llm import license_scan, neighbours, surrogates
+from climagrid.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def _exact(ids, vectors, query, k=10):
+    at = ids.index(query)
+    d2 = np.square(vectors - vectors[at]).sum(axis=1)
+    d2[[i for i, v in enumerate(ids) if v == query]] = np.inf
+    order = sorted(range(len(ids)), key=lambda i: (d2[i], ids[i]))[:k]
+    return [(ids[i], d2[i] ** 0.5) for i in order if d2[i] < np.inf]
+
+
+def test_recall_and_distances(spark):
+    table = pd.read_parquet(f"{SF}/embeddings.parquet")
+    ids, vectors = table.vec_id.tolist(), np.stack(table.embedding).astype(float)
+    found = neighbours.nearest(spark.read.parquet(f"{SF}/embeddings.parquet"), every=10, block=64).toPandas()
+    hits = 0
+    for query, own in found.sort_values("rank").groupby("query_id"):
+        expected = _exact(ids, vectors, query)
+        assert own["rank"].tolist() == list(range(1, 11))
+        all_distances = np.sqrt(np.square(vectors - vectors[ids.index(query)]).sum(axis=1))
+        assert np.allclose(own.score, all_distances[[ids.index(v) for v in own.vec_id]], rtol=1e-12)
+        hits += len({v for v, _ in expected} & set(own.vec_id))
+    assert sorted(found.query_id.unique()) == [i for i in sorted(ids) if i % 10 == 0]
+    assert hits >= 0.97 * len(found)
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0])]
+    rows += [(6, [inf, 1.0]), (7, [None, 1.0]), (8, []), (9, [1.0, 2.0, 3.0]), (100, [1.0, 2.0, 4.0])]
+    rows += [(None, [1.0, 0.0]), (11, [1.0, 3.0]), (11, [1.0, 1.0]), (200, [0.0, 0.0]), (300, [5.0] * 7)]
+    table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<float>, cell string")
+    found = sorted(map(tuple, neighbours.nearest(table, block=2).collect()))
+    assert found == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 11, 1.0), (100, 1, 9, 1.0)]
+    assert neighbours.nearest(table.limit(0)).count() == 0
+
+
+def test_many_copies_of_a_vector(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(500)] + [(i, [float(i), 0.5]) for i in range(500, 600)]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), block=32)
+    by = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by[0] == list(range(1, 11)) and by[300] == list(range(10))
+    assert by[500] == list(range(501, 511))
+
+
+def _licenses(text):
+    words = license_scan.words_of(text or "")
+    starts, labels = [], set()
+    for phrase, label in license_scan.PHRASES.items():
+        parts = phrase.split()
+        own = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
+        starts += own
+        labels |= {label} if own else set()
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def test_base_phrases(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    expected = {i: _licenses(t) for i, t in zip(docs.doc_id, docs.text, strict=True)}
+    rows = QUERIES["op10_license_scan"](spark, SF).collect()
+    assert {r.doc_id: tuple(r)[1:6] for r in rows} == expected
+    assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in rows)
+
+
+def test_places_of_awkward_texts(spark):
+    mit = license_scan.NOTICES[1][1]
+    edited = mit.replace("free of charge", "entirely free of any charge").replace("modify, ", "")
+    texts = [
+        "MIT-License, mit LICENSE; mit license Apache license GENERAL public license",
+        "general public general public license public license", "mit  licenses", "Kmit license", "MİT license",
+        mit, edited, " ".join(mit.split()[:9]), "word " * 50 + edited.upper() + " word" * 50,
+    ]
+    rows = AWKWARD + [(100 + i, t, "en", "a") for i, t in enumerate(texts)]
+    found = license_scan.scan_licenses(awkward(spark, rows)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted((tuple(r)[:6] for r in found), key=key) == sorted(((i, *_licenses(t)) for i, t, _, _ in rows), key=key)
+    by = {r.doc_id: r for r in found}
+    assert [by[100 + i].labels for i in (5, 6, 7, 8)] == ["mit", "mit", "", "mit"]
+    assert by[105].score == 1.0 and 0.6 <= by[106].score < 1.0 and by[107].score == 0.0
+    assert license_scan.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+PERSONAL = [
+    (50, "Mr. John Smith, MR. JOHN SMITH and Mrs. Anna Berg; г-жа Мария Иванова", "en", "a"),
+    (51, "call +1 (743) 555-3824 or (743) 555-3824 or 743-555-3824, not (743) 555-3825", "en", "a"),
+    (52, "a.b-1@Mail.example.com A.B-1@MAIL.EXAMPLE.COM, 4111 1111 1111 1111 = 4111111111111111", "en", "a"),
+    (53, "10.0.0.1 and 255.1.2.3. token = \"1eb9c654e721b4f812088970e66a6345cee33dd6\"### 4111111111111112", "en", "a"),
+]
+
+
+def test_surrogates_keep_format_and_coreference(spark):
+    rows = AWKWARD + PERSONAL + PERSONAL[:1]
+    docs = awkward(spark, rows)
+    result = surrogates.replace_entities(docs, "key")
+    assert result.columns == [*docs.columns, "n_replaced"]
+    found = {r.doc_id: r for r in result.collect()}
+    assert result.count() == len(rows)
+    for i, text, _, _ in AWKWARD:
+        assert found[i].text == text and found[i].n_replaced == 0
+    a, shout, b, c = re.fullmatch(r"Mr\. (.+), MR\. (.+) and Mrs\. (.+); г-жа (.+)", found[50].text).groups()
+    assert a.upper() == shout and a.split()[0] in surrogates.GIVEN["m", "latin"]
+    assert b.split()[0] in surrogates.GIVEN["f", "latin"] and c.split()[0] in surrogates.GIVEN["f", "cyrillic"]
+    phones = re.findall(r"\d{3}\D{1,2}\d{3}-\d{4}", found[51].text)
+    digits = [re.sub(r"\D", "", p) for p in phones]
+    assert digits[0] == digits[1] == digits[2] != digits[3] and digits[0] != "7435553824"
+    assert re.fullmatch(r"call \+1 \(\d{3}\) .* or \(\d{3}\) .* or \d{3}-\d{3}-\d{4}, not .*", found[51].text)
+    mail, loud, spaced, plain = re.fullmatch(r"(\S+) (\S+), (.{19}) = (\d{16})", found[52].text).groups()
+    assert mail.upper() == loud and mail.endswith(".example.org") and spaced.replace(" ", "") == plain
+    checks = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(plain))]
+    assert sum(d - 9 if d > 9 else d for d in checks) % 10 == 0 and plain[0] == "4"
+    assert re.fullmatch(r'[\d.]+ and [\d.]+\. token = "[0-9a-f]{40}"### 4111111111111112', found[53].text)
+    assert [found[i].n_replaced for i in (50, 51, 52, 53)] == [4, 4, 4, 3]
+    again = surrogates.replace_entities(docs, "key").collect()
+    assert sorted(map(str, again)) == sorted(map(str, result.collect()))
+    other = surrogates.replace_entities(docs, "other").where("doc_id = 52").first()
+    assert other.text != found[52].text
+    assert surrogates.replace_entities(spark.createDataFrame([], SCHEMA), "key").count() == 0
+
+
+def test_collisions_are_drawn_again(spark):
+    entities = [("phone", f"{i:03d}") for i in range(400)] + [("ip", "1.2.3.4")]
+    found = surrogates.assign_surrogates(spark.createDataFrame(entities, "kind string, entity string"), "k")
+    new = [(r.kind, r.new) for r in found.collect()]
+    assert len(new) == len(set(new)) == 401 and not set(new) & set(entities)
+
+
+def test_nothing_private_is_left(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet").set_index("doc_id").text
+    private = "|".join(surrogates.PATTERNS[k] for k in ("email", "ip", "phone", "secret"))
+    for row in QUERIES["op5_surrogates"](spark, SF).collect():
+        old = docs[row.doc_id]
+        for mention in re.findall(f"({private})", old.replace("\\p{Lu}", "")):
+            assert mention not in row.text
+        if not row.n_replaced:
+            assert row.text == old
