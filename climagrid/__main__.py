@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from climagrid.plans.batch import run_batch
+from climagrid.plans.batch import refine, run_batch
 
 
 def main(arguments: Sequence[str] | None = None) -> dict[str, str]:
@@ -20,8 +20,13 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, str]:
     parser.add_argument(
         "--json-lines", action="store_true", help="documents are one per line, not one per file"
     )
+    parser.add_argument(
+        "--older", action="store_true", help="make the older set of datasets from TRUSTED alone"
+    )
     given = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("climagrid").getOrCreate()
+    if given.older:
+        return refine(spark, given.trusted, given.refined, table=given.table, older=True)
     return run_batch(
         spark,
         given.weather,

@@ -476,7 +476,43 @@ ORACLE: dict[str, str] = {
     "dataset_roundtrip": on_obs(MONTHLY),
     "json_export": on_obs(RAIN_PROFILE),
     "csv_export": on_obs(RAIN_PROFILE),
-    "dataset_catalog": """SELECT * FROM (VALUES ('monthly_analysis', 'descriptive_analytics'),
-        ('temporal_patterns', 'ml_analytics')) AS d(name, category)""",
+    "dataset_catalog": """SELECT name, category, CAST(files AS BIGINT) AS file_count
+        FROM (VALUES ('monthly_analysis', 'descriptive_analytics', 2),
+        ('temporal_patterns', 'ml_analytics', 3)) AS d(name, category, files)""",
     "raw_to_refined": over(*LANDED, select=MONTHLY, dated=DATED.replace("obs", "trusted")),
 }
+
+
+def on_trusted(sql: str) -> str:
+    """A query over ``obs``, over the observations that the batch makes of the landed documents."""
+    landed = ",\n".join(f"{name} AS ({NAMED[name]})" for name in LANDED)
+    start = f"WITH obs AS ({NAMED['obs']})"
+    assert sql.startswith(start)
+    return f"WITH {landed},\nobs AS (SELECT * FROM trusted)" + sql.removeprefix(start)
+
+
+CLUSTERED = f"""SELECT city_name, country, avg_max_temp, total_precipitation, temp_variability,
+    {{more}} CAST(LEAST(3, COUNT(*) OVER ()) AS INT) AS clusters FROM ({FEATURES})
+    WHERE avg_max_temp IS NOT NULL AND total_precipitation IS NOT NULL
+    AND temp_variability IS NOT NULL"""
+
+ORACLE |= {
+    "anomalies_from_rollup": ORACLE["anomalies"],
+    "join_on_grid_salted": ORACLE["join_on_grid"],
+    "dataset_head": ORACLE["head_monthly"],
+    "clustering_results": on_obs(CLUSTERED.format(more="TRUE AS own_centre_is_nearest,")),
+    "cluster_members": on_obs(CLUSTERED.format(more="")),
+    "silhouette_sweep": "SELECT CAST(k AS INT) AS k, TRUE AS choice_is_right FROM RANGE(2, 8) r(k)",
+} | {
+    f"batch_{name}": on_trusted(ORACLE[name])
+    for name in (
+        "correlations",
+        "seasonal_analysis",
+        "extreme_cities",
+        "precipitation_patterns",
+        "tropical_analysis",
+        "temporal_patterns",
+        "regression_results",
+        "anomalies",
+    )
+}

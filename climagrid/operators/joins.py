@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from climagrid.operators.rollup import exact_deviation, exact_mean, is_rollup
+from climagrid.operators.rollup import exact_deviation, exact_mean, is_rollup, with_origins
 from climagrid.sources.scratch import materialize
 
 BROADCAST_BYTES = 32 << 20
@@ -75,9 +75,11 @@ def group_stats(
     ``measures`` maps a column to its label. A rollup will do as ``source`` if it has the
     keys and the measures.
     """
-    aggregates = []
+    aggregates, merging = [], is_rollup(source)
+    if merging:
+        source = with_origins(source)
     for column, label in measures.items():
-        if is_rollup(source):
+        if merging:
             mean, std = exact_mean(column), exact_deviation(column)
         else:
             mean, std = F.avg(column), F.stddev(column)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from climagrid.functions.dates import with_calendar
@@ -83,8 +83,15 @@ def rolled(source: DataFrame, keys: Sequence[str], need: Sequence[str] = ()) ->
     if is_rollup(source):
         for column in need:
             source = source.filter(PRESENCE_FLAGS[column])
-        return source
-    return rollup(require_not_null(source, need) if need else source, keys, presence=False)
+        return with_origins(source)
+    parts = rollup(require_not_null(source, need) if need else source, keys, presence=False)
+    # One part per group: its own mean is the origin, and nothing lies between parts.
+    own = {
+        f"{c}__origin": F.try_divide(F.col(f"{c}__sum"), F.col(f"{c}__n"))
+        for c in PRESENCE_FLAGS
+        if f"{c}__m2" in parts.columns
+    }
+    return parts.withColumns(own)
 
 
 def rows() -> Column:
@@ -117,15 +124,37 @@ def highest(column: str, digits: int = 2) -> Column:
     return F.round(F.max(f"{column}__max"), digits)
 
 
+def with_origins(source: DataFrame) -> DataFrame:
+    """A rollup whose parts know a value near the mean of their city, ``<column>__origin``.
+
+    The mean of all parts of one city name, so parts of a group that has one share it exactly.
+    A city has a bounded number of parts, however many observations.
+    """
+    columns = [c for c in PRESENCE_FLAGS if f"{c}__m2" in source.columns]
+    if "city_name" not in source.columns:
+        return source
+    city = Window.partitionBy("city_name")
+    origins = {
+        f"{c}__origin": F.try_divide(F.sum(f"{c}__sum").over(city), F.sum(f"{c}__n").over(city))
+        for c in columns
+    }
+    return source.withColumns(origins)
+
+
 def exact_deviation(column: str) -> Column:
     """Sample standard deviation, not rounded; NULL below two values, 0 for equal values.
 
-    Squares within the parts plus squares between their means.
+    Squares within the parts plus squares between their means. The means are taken from the parts'
+    common origin, so that large values with a small spread do not cancel; where the parts of a
+    group have different origins, their spread is itself large and plain sums will do.
     """
-    n, s = F.col(f"{column}__n"), F.col(f"{column}__sum")
-    count, whole = F.sum(n), F.sum(s)
-    between = F.sum(F.try_divide(s * s, n)) - F.try_divide(whole * whole, count)
-    squares = F.greatest(F.sum(f"{column}__m2") + between, F.lit(0.0))
+    n, s, origin = F.col(f"{column}__n"), F.col(f"{column}__sum"), F.col(f"{column}__origin")
+    shift = F.try_divide(s, n) - origin
+    count = F.sum(n)
+    near = F.sum(n * shift * shift) - F.try_divide(F.sum(n * shift) * F.sum(n * shift), count)
+    far = F.sum(F.try_divide(s * s, n)) - F.try_divide(F.sum(s) * F.sum(s), count)
+    between = F.when(F.min(origin) == F.max(origin), near).otherwise(far)
+    squares = F.greatest(F.sum(f"{column}__m2") + F.coalesce(between, F.lit(0.0)), F.lit(0.0))
     constant = F.min(f"{column}__min") == F.max(f"{column}__max")
     spread = F.when(constant, F.lit(0.0)).otherwise(
         F.sqrt(F.try_divide(squares, count - F.lit(1)))

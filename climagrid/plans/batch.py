@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from climagrid.operators.anomalies import anomalies
 from climagrid.operators.joins import join_on_grid
+from climagrid.operators.quality import null_profile
 from climagrid.operators.rollup import MONTHLY_GRAIN, rollup
 from climagrid.operators.transforms import explode_daily, prepare_locations, snap_documents
 from climagrid.plans import reports
@@ -17,6 +18,7 @@ from climagrid.plans.models import (
     cluster_cities,
     predict_temperature,
     regress_precipitation,
+    regression_metrics,
 )
 from climagrid.sources.readers import (
     read_locations_csv,
@@ -25,7 +27,7 @@ from climagrid.sources.readers import (
     split_valid_documents,
 )
 from climagrid.sources.schemas import OBSERVATION_COLUMNS
-from climagrid.sources.scratch import materialize
+from climagrid.sources.scratch import job_scratch, materialize
 from climagrid.sources.writers import load_table, save_dataset, write_observations
 
 CONCURRENT_WRITES = 4
@@ -51,6 +53,7 @@ def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
     """
     monthly = materialize(rollup(obs), "monthly-rollup")
     regression = regress_precipitation(obs)
+    clusters = cluster_cities(reports.city_features(monthly))
     return {
         "correlations": reports.correlations(obs),
         "monthly_analysis": reports.monthly_analysis(monthly),
@@ -59,8 +62,11 @@ def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
         "precipitation_patterns": reports.precipitation_patterns(monthly),
         "cities_comparison": reports.cities_comparison(monthly),
         "tropical_analysis": reports.tropical_analysis(monthly),
-        "clustering_results": cluster_cities(reports.city_features(monthly)),
+        "clustering_results": clusters,
+        "cluster_summary": clusters and reports.cluster_summary(clusters),
         "regression_results": regression and regression.predictions,
+        "regression_metrics": regression and regression_metrics(regression.predictions),
+        "null_profile": null_profile(obs),
         "anomalies": anomalies(obs, source=monthly),
         "temporal_patterns": reports.temporal_patterns(monthly),
     }
@@ -95,17 +101,38 @@ def run_batch(
 ) -> dict[str, str]:
     """Raw files to trusted observations to refined datasets; returns the datasets' folders.
 
-    ``table`` also loads the observations into a catalog table. The datasets do not depend on
-    each other, so a few are written at a time and the tail of one job leaves no idle cores.
+    Documents without days are kept as JSON lines in ``rejected_path(trusted)``. ``table`` also
+    loads the observations into a catalog table.
     """
     docs = read_weather_json(spark, weather, multi_line)
+    _, rejected = split_valid_documents(docs)
+    rejected.write.mode("overwrite").json(rejected_path(trusted))
     write_observations(trusted_observations(docs, read_locations_csv(spark, locations)), trusted)
-    obs = read_observations(spark, trusted)
-    if table is not None:
-        load_table(obs, table)
-    built = {name: df for name, df in refined_datasets(obs).items() if df is not None}
-    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        folders = pool.map(
-            lambda name: save_dataset(built[name], refined, DATASETS[name], name), built
-        )
-        return dict(zip(built, folders, strict=True))
+    return refine(spark, trusted, refined, table)
+
+
+def rejected_path(trusted: str) -> str:
+    """Where the batch keeps the documents that it could not use."""
+    return f"{trusted.rstrip('/')}_rejected"
+
+
+def refine(
+    spark: SparkSession, trusted: str, refined: str, table: str | None = None, older: bool = False
+) -> dict[str, str]:
+    """Trusted observations to refined datasets; returns their folders.
+
+    ``older`` makes the older set, from observations that have its further columns. The datasets do
+    not depend on each other, so a few are written at a time and the tail of one job leaves no idle
+    cores. What the job keeps in the shared folder goes at its end.
+    """
+    with job_scratch(spark):
+        obs = spark.read.parquet(trusted) if older else read_observations(spark, trusted)
+        if table is not None:
+            load_table(obs, table)
+        found = extended_datasets(obs) if older else refined_datasets(obs)
+        built = {name: df for name, df in found.items() if df is not None}
+        with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+            folders = pool.map(
+                lambda name: save_dataset(built[name], refined, DATASETS[name], name), built
+            )
+            return dict(zip(built, folders, strict=True))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,12 @@ DATASETS = {
     "regression_results": "ml_analytics",
     "anomalies": "ml_analytics",
     "temporal_patterns": "ml_analytics",
+    # Of the older set only.
+    "temperature_predictions": "ml_analytics",
+    # Shown by the published job, kept here.
+    "null_profile": "descriptive_analytics",
+    "cluster_summary": "ml_analytics",
+    "regression_metrics": "ml_analytics",
 }
 
 
@@ -52,9 +60,9 @@ def list_datasets(spark: SparkSession, root: str) -> DataFrame:
 
 
 def get_dataset(
-    spark: SparkSession, root: str, name: str, limit: int = 100
+    spark: SparkSession, root: str, name: str, limit: int = 100, order: Sequence[str] = ()
 ) -> DataFrame:
-    """A dataset by name, at most ``limit`` rows (0 for all).
+    """A dataset by name, at most ``limit`` rows (0 for all): the first by ``order``, if given.
 
     Looked for under the descriptive, then the ML category, then the root itself; all part
     files are read.
@@ -65,7 +73,7 @@ def get_dataset(
     places.append(f"{root.rstrip('/')}/{name}")
     for place in places:
         try:
-            return head(spark.read.parquet(place), limit)
+            return head(spark.read.parquet(place), limit, *order)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline
@@ -39,7 +40,9 @@ TRAIN_FRACTION = 0.8
 MIN_REGRESSION_ROWS = 11
 SWEEP = range(2, 8)
 
-ROWS_PER_PARTITION = 100_000
+# Partitions of the clusterings' input, whatever the number of cities.
+LAYOUT = 16
+CONCURRENT_FITS = 3
 
 # An observation is split by its place and day.
 SPLIT_KEYS = ("city_name", "location_id", "weather_date")
@@ -78,13 +81,14 @@ def standardize(df: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES) -> DataFr
     )
 
 
-def _scaled_input(kept: DataFrame, cities: int, cols: Sequence[str]) -> DataFrame:
+def _scaled_input(kept: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Scaled features in a layout that depends on the rows alone.
 
     The starting points drawn from a seed depend on where the rows lie, so rows are placed by
-    their hash and sorted; otherwise a second run could give other clusters.
+    their hash in a fixed number of partitions and sorted; otherwise a second run, or one with
+    another city, could give other clusters.
     """
-    placed = kept.repartition(1 + cities // ROWS_PER_PARTITION, *kept.columns)
+    placed = kept.repartition(LAYOUT, *kept.columns)
     return standardize(placed.sortWithinPartitions(*kept.columns), cols)
 
 
@@ -102,7 +106,7 @@ def cluster_cities(
     cities = kept.count()
     if cities < 2:
         return None
-    scaled = _scaled_input(kept, cities, cols)
+    scaled = _scaled_input(kept, cols)
     return KMeans(k=min(k, cities), seed=seed).fit(scaled).transform(scaled)
 
 
@@ -121,10 +125,19 @@ def choose_k(
     tried = [k for k in ks if k < cities]
     if not tried:
         return None
-    scaled = _scaled_input(kept, cities, cols)
+    scaled = _scaled_input(kept, cols)
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    fits = {k: KMeans(k=k, seed=seed).fit(scaled) for k in tried}
-    scores = [(k, evaluator.evaluate(fit.transform(scaled))) for k, fit in fits.items()]
+    scaled = materialize(scaled, "scaled-features")
+
+    def attempt(k: int) -> tuple[object, float]:
+        fit = KMeans(k=k, seed=seed).fit(scaled)
+        return fit, evaluator.evaluate(fit.transform(scaled))
+
+    # The fits do not depend on each other and each is mostly the latency of small jobs.
+    with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
+        results = dict(zip(tried, pool.map(attempt, tried), strict=True))
+    fits = {k: fit for k, (fit, _) in results.items()}
+    scores = [(k, score) for k, (_, score) in results.items()]
     best_k = max(scores, key=lambda score: score[1])[0]
     table = features.sparkSession.createDataFrame(scores, "k INT, silhouette DOUBLE")
     return KChoice(table, best_k, fits[best_k].transform(scaled))

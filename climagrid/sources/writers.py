@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.functions.dates import parse_date
 from climagrid.operators.ordering import sorted_rows
 from climagrid.sources.schemas import LOCATION_COLUMNS
+from climagrid.sources.scratch import materialize
 
 # Folder of each dataset category.
 CATEGORY_FOLDERS = {
@@ -20,23 +22,46 @@ EXPORT_FORMATS = ("json", "csv")
 def write_raw_json(docs: DataFrame, root: str, by_city: bool = False) -> None:
     """Land documents as JSON lines under ``year=``, sorted by their ``city`` column.
 
-    The year is that of the first day. Rebalancing gathers a year's documents into few files,
-    and adaptive execution splits a heavy year over several tasks. ``by_city`` makes a folder
-    per city inside each year instead; keep it for few cities, since the number of folders is
-    cities times years.
+    The year is that of the first day. Documents of a landed city and year replace what the root
+    holds of them; other cities and years stay. Rebalancing gathers a year's documents into few
+    files, and adaptive execution splits a heavy year over several tasks. ``by_city`` makes a folder
+    per city inside each year instead, so that only the landed ones are touched; keep it for few
+    cities, since the number of folders is cities times years. Without it, a year's folder is
+    rewritten with the documents of its other cities.
     """
     folders = ["year", "city"] if by_city else ["year"]
+    landed = docs.withColumn(
+        "year", F.year(parse_date(F.try_element_at("daily.time", F.lit(1))))
+    ).withColumn("city", F.replace(F.lower("city"), F.lit(" "), F.lit("_")))
+    if not by_city:
+        landed = _with_other_cities(landed, root)
     (
-        docs.withColumn("year", F.year(parse_date(F.try_element_at("daily.time", F.lit(1)))))
-        .withColumn("city", F.replace(F.lower("city"), F.lit(" "), F.lit("_")))
-        .hint("rebalance", *folders)
+        landed.hint("rebalance", *folders)
         .sortWithinPartitions("year", "city")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)
         .json(root)
     )
 
 
+def _with_other_cities(landed: DataFrame, root: str) -> DataFrame:
+    """The landed documents and those of other cities in the same years that the root holds."""
+    try:
+        held = landed.sparkSession.read.schema(landed.schema).json(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return landed
+    landed = materialize(landed, "landed-documents")
+    keys = landed.select(F.col("year").alias("__year"), F.col("city").alias("__city")).distinct()
+    same_year = F.col("year").eqNullSafe(F.col("__year"))
+    in_years = held.join(keys.select("__year").distinct(), same_year, "left_semi")
+    others = in_years.join(keys, same_year & F.col("city").eqNullSafe(F.col("__city")), "left_anti")
+    # Written first, since the files read here are the ones that the landing replaces.
+    return materialize(landed.unionByName(others), "landed-years")
+
+
 def write_locations_csv(locations: DataFrame, path: str) -> None:
     """Location columns as CSV with a header."""
     locations.select(*LOCATION_COLUMNS).write.mode("overwrite").option("header", True).csv(path)

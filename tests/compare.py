@@ -15,6 +15,7 @@ KINDS = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 

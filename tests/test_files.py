@@ -78,6 +78,24 @@ def test_landed_documents_read_back(spark, raw, tmp_path, by_city):
     )
 
 
+@pytest.mark.parametrize("by_city", [False, True])
+def test_landing_keeps_other_years_and_cities(spark, raw, tmp_path, by_city):
+    valid, _ = io.split_valid_documents(io.read_weather_json(spark, raw[0]))
+    one, root = valid.limit(1), str(tmp_path / "landed")
+    day = lambda year: F.transform("daily.time", lambda t: F.concat(F.lit(year), F.substring(t, 5, 6)))
+
+    def land(year, city, elevation):
+        moved = one.withColumn("daily", F.col("daily").withField("time", day(year)))
+        moved = moved.withColumn("elevation", F.lit(elevation)).withColumn("city", F.lit(city))
+        io.write_raw_json(moved, root, by_city=by_city)
+
+    for step in (("2021", "A", 1.0), ("2022", "A", 2.0), ("2022", "B", 3.0), ("2022", "A", 4.0)):
+        land(*step)
+    back = spark.read.json(root)
+    found = sorted((r.year, r.city, r.elevation) for r in back.select("year", "city", "elevation").collect())
+    assert found == [(2021, "a", 1.0), (2022, "a", 4.0), (2022, "b", 3.0)]
+
+
 def test_locations_csv(spark, raw, tmp_path):
     locations = io.read_locations_csv(spark, raw[1])
     path = str(tmp_path / "locations")
@@ -216,7 +234,8 @@ def test_batch_writes_all_datasets(spark, refined):
     obs = io.read_observations(spark, trusted)
     assert obs.columns == OBSERVATION_COLUMNS and obs.count() == 4 * 365
     assert io.read_table(spark, "batch_obs").count() == 4 * 365
-    assert set(folders) == set(catalog.DATASETS)
+    assert set(folders) == set(catalog.DATASETS) - {"temperature_predictions"}
+    assert spark.read.json(f"{trusted}_rejected").count() == 3
     monthly = catalog.get_dataset(spark, root, "monthly_analysis", 0)
     assert monthly.count() == 48
     assert Counter(monthly.collect()) == Counter(reports.monthly_analysis(obs).collect())
@@ -227,10 +246,23 @@ def test_batch_writes_all_datasets(spark, refined):
     }
 
 
+def test_the_older_set_of_datasets(spark, tmp_path):
+    from climagrid.checks.queries import retail
+
+    trusted, root = str(tmp_path / "trusted"), str(tmp_path / "refined")
+    retail.extended_observations(spark, "/root/testdata/sf0.001").write.parquet(trusted)
+    folders = main(["-", "-", trusted, root, "--older"])
+    assert "temperature_predictions" in folders and "humidity" not in folders
+    monthly = catalog.get_dataset(spark, root, "monthly_analysis", 0)
+    assert "avg_humidity" in monthly.columns
+    assert catalog.get_dataset(spark, root, "temperature_predictions").count() == 100
+
+
 def test_catalog(spark, refined, tmp_path):
     _, root, _ = refined
     listed = catalog.list_datasets(spark, root).collect()
-    assert {r.name: r.category for r in listed} == catalog.DATASETS
+    expected = {k: v for k, v in catalog.DATASETS.items() if k != "temperature_predictions"}
+    assert {r.name: r.category for r in listed} == expected
     assert all(r.file_count >= 1 for r in listed)
     assert [(r.category, r.name) for r in listed] == sorted((r.category, r.name) for r in listed)
 

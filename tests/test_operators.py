@@ -165,11 +165,37 @@ def test_project_filter_error(spark):
 def test_sorted_rows_keeps_every_copy(spark, monkeypatch, rows):
     monkeypatch.setattr(ordering, "_COPIES_PER_CHUNK", 3)
     df = spark.createDataFrame(rows, "k int, c string, v double")
-    got = [tuple(r) for r in ordering.sorted_rows(df, "k").collect()]
+    got = [tuple(r) for r in ordering.sorted_rows(df, "k", fold_copies=True).collect()]
     assert Counter(got) == Counter(rows)
     assert [g[0] for g in got] == sorted(r[0] for r in rows)
 
 
+@pytest.mark.parametrize("fold", [False, True])
+def test_sorted_rows_leaves_values_as_they_are(spark, fold):
+    rows = [(1, -0.0), (1, 0.0), (0, float("nan")), (1, -0.0), (0, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = [str(r.v) for r in ordering.sorted_rows(df, "k", fold_copies=fold).collect()]
+    assert Counter(got) == Counter(str(v) for _, v in rows)
+
+
+def test_sorted_rows_takes_one_shuffle(spark):
+    df = spark.range(100).select(F.xxhash64("id").alias("v"), (F.col("id") % 3).alias("k"))
+    plan = ordering.sorted_rows(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_large_values_with_a_small_spread_keep_it(spark):
+    from climagrid.operators.joins import group_stats
+
+    rows = spark.range(4000).selectExpr(
+        "'a' AS city_name", "'X' AS country", "date_add(DATE'2020-01-01', CAST(id AS INT)) AS weather_date",
+        "1e6 + (id % 5) * 0.01 AS max_temp_c", "1.0 AS precipitation_mm",
+    )
+    merged = group_stats(rollup(rows), ["city_name"], {"max_temp_c": "temp"}).first().std_temp
+    direct = group_stats(rows, ["city_name"], {"max_temp_c": "temp"}).first().std_temp
+    assert merged == pytest.approx(direct, rel=1e-6)
+
+
 def test_sorted_rows_descending(spark):
     df = spark.createDataFrame([(1, "x"), (3, "y"), (2, "z"), (3, "y")], "k int, c string")
     assert [r.k for r in ordering.sorted_rows(df, F.desc("k")).collect()] == [3, 3, 2, 1]
@@ -180,7 +206,7 @@ def test_copies_of_one_row_are_spread_by_the_sort(spark, monkeypatch):
     df = spark.range(20000).select(F.lit(1).alias("k"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = ordering.sorted_rows(df, "k").groupBy(F.spark_partition_id()).count().collect()
+        parts = ordering.sorted_rows(df, "k", fold_copies=True).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(p["count"] for p in parts) == 20000
@@ -288,7 +314,7 @@ class Session:
         self.conf = {key.replace("_", "."): value for key, value in settings.items()}
 
 
-def test_scratch_folder_of_each_kind_of_session(spark, monkeypatch):
+def test_scratch_folder_of_each_kind_of_session():
     cluster = Session(spark_master="yarn", spark_app_id="c")
     named = Session(spark_master="yarn", spark_app_id="n", spark_checkpoint_dir="s3://b/x/")
     local = Session(spark_master="local[2]", spark_app_id="l")
@@ -297,6 +323,12 @@ def test_scratch_folder_of_each_kind_of_session(spark, monkeypatch):
     assert scratch_path(named, "t").startswith("s3://b/x/climagrid/t-")
     first, second = scratch_path(local, "t"), scratch_path(local, "t")
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
-    monkeypatch.setattr(scratch, "_shared_folder", lambda session: None)
-    df = spark.range(3)
-    assert materialize(df, "t") is df
+
+
+def test_a_job_removes_what_it_kept(spark):
+    import os
+
+    with scratch.job_scratch(spark):
+        path = materialize(spark.range(3), "t").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)

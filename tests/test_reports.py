@@ -43,7 +43,7 @@ def test_a_shared_rollup_gives_the_same_report(mixed, name):
     shared = [r.asDict() for r in report(rollup(mixed)).collect()]
     key = lambda r: str([v for v in r.values() if not isinstance(v, float)])
     for one, other in zip(sorted(direct, key=key), sorted(shared, key=key), strict=True):
-        assert one == pytest.approx(other, abs=0.011)
+        assert one == pytest.approx(other, abs=1e-9)
 
 
 def test_reports_against_plain_python(mixed):
