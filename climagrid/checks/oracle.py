@@ -127,16 +127,18 @@ def safe_corr(x: str, y: str, digits: int = 3) -> str:
 T, P = "max_temp_c", "precipitation_mm"
 WITH_TEMP = f"FROM dated WHERE {T} IS NOT NULL"
 
-DRY_WET = """CASE WHEN month IN (1, 2, 3, 12) THEN 'Época Seca'
+# Months and bounds of the published datasets, written out once more so that the
+# queries are not checked against themselves.
+DRY_WET = """CASE WHEN month IN (12, 1, 2, 3) THEN 'Época Seca'
     WHEN month IN (4, 5, 10, 11) THEN 'Época Lluviosa'
-    WHEN month BETWEEN 6 AND 8 THEN 'Época Semi-seca' ELSE 'Época Semi-lluviosa' END"""
-TEMPERATE = """CASE WHEN month IN (1, 2, 12) THEN 'Invierno'
-    WHEN month BETWEEN 3 AND 5 THEN 'Primavera'
-    WHEN month BETWEEN 6 AND 8 THEN 'Verano' ELSE 'Otoño' END"""
-TROPICAL = """CASE WHEN month IN (1, 2, 3, 12) THEN 'Verano (Seco)'
+    WHEN month IN (6, 7, 8) THEN 'Época Semi-seca' ELSE 'Época Semi-lluviosa' END"""
+TROPICAL = """CASE WHEN month IN (12, 1, 2, 3) THEN 'Verano (Seco)'
     WHEN month IN (4, 5) THEN 'Primera Lluvia'
-    WHEN month BETWEEN 6 AND 8 THEN 'Veranillo de San Juan'
-    WHEN month BETWEEN 9 AND 11 THEN 'Segunda Lluvia' END"""
+    WHEN month IN (6, 7, 8) THEN 'Veranillo de San Juan'
+    WHEN month IN (9, 10, 11) THEN 'Segunda Lluvia' END"""
+TEMPERATE = """CASE WHEN month IN (12, 1, 2) THEN 'Invierno'
+    WHEN month IN (3, 4, 5) THEN 'Primavera'
+    WHEN month IN (6, 7, 8) THEN 'Verano' ELSE 'Otoño' END"""
 LOCAL_BANDS = [(25, "Caliente"), (20, "Templado Cálido"), (15, "Templado"), (10, "Fresco")]
 GLOBAL_BANDS = [(30, "Muy Caliente"), (20, "Caliente"), (10, "Templado"), (0, "Frío")]
 RAIN_CLASSES = [(5, "Muy Lluvioso"), (2, "Lluvioso"), (0.5, "Moderado")]

@@ -1,4 +1,4 @@
-"""Every operator as a query over the check tables (see ``sources.retail``)."""
+"""Every operator as a query over the check tables (see ``checks.retail``)."""
 
 from __future__ import annotations
 
@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from climagrid import functions as fn
 from climagrid import sources as io
+from climagrid.checks import retail
 from climagrid.functions.labels import CLIMATE_BANDS, RAIN_BANDS
 from climagrid.operators import anomalies as an
 from climagrid.operators import joins, ordering, quality
 from climagrid.operators import transforms as tr
 from climagrid.operators.rollup import rollup
 from climagrid.plans import batch, catalog, models, reports
-from climagrid.sources import retail
 
 Query = Callable[[SparkSession, str], DataFrame]
 

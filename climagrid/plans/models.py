@@ -165,10 +165,10 @@ def regression_rows(obs: DataFrame) -> DataFrame:
 
 
 def temperature_rows(obs: DataFrame) -> DataFrame:
-    """Days with temperature, humidity and rain, and the time of year."""
+    """Days with temperature, humidity and rain, and the time of year (``day_of_year`` as double)."""
     complete = require_not_null(obs, ["max_temp_c", "humidity_percent", "precipitation_mm"])
     return complete.withColumns(
-        {"month_num": F.month("weather_date"), "day_of_year": epoch_phase("weather_date")}
+        {"month_num": F.month("weather_date"), "day_of_year": epoch_phase("weather_date").cast("double")}
     )
 
 
