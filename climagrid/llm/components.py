@@ -20,7 +20,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels = materialize(labels.select("node", F.least("node", "comp").alias("comp")), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
-        near = materialize(near, "near-labels")
         hooked = labels.join(near, labels["node"] == near["a"]).select(
             "node", F.least("comp", "near").alias("hook"), F.col("comp").alias("old")
         )

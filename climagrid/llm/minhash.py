@@ -13,16 +13,19 @@ from pyspark.sql import functions as F
 from climagrid.llm.components import connected_components
 from climagrid.llm.shipping import with_modules
 from climagrid.llm.units import text_slices
+from climagrid.operators.joins import lookup_join
 from climagrid.sources.scratch import materialize
 
 WORDS = 5
 PERCENT = 75
-#: Values kept of a set. Of the union's k smallest, 48 are expected in both sets at 75 percent.
-K = 64
-#: Fewer shared values than this among k have a probability below 1e-10 at 75 percent.
-LEAST_SHARED = 24
-#: Pairs left for each posting at which pivots give way to comparing them all.
-_ENUMERATED = 2
+#: Values kept of a set. Of the union's k smallest, 96 are expected in both sets at 75 percent.
+K = 128
+#: Fewer shared values than this among k have a probability below 1e-9 at 75 percent.
+LEAST_SHARED = 64
+#: Frequent values up to this size are broadcast to the sketches, beyond it both are shuffled.
+BROADCAST_BYTES = 96 << 20
+#: Members up to which a list's pairs are compared as they are; larger lists are drawn anew.
+LIST = 64
 #: Word hashes a worker keeps before it starts anew.
 TABLE_ENTRIES = 1_000_000
 
@@ -99,24 +102,41 @@ def _least_shared(n: Column) -> Column:
     return F.when(4 * n <= 3 * K, F.ceil(n * PERCENT / 100)).otherwise(LEAST_SHARED)
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """Inverted lists ``v``: ``node, n, weight``, of the values that suffice to meet every partner.
+def _postings(classes: DataFrame, whole: bool = False) -> DataFrame:
+    """Inverted lists ``v``: ``node, n, weight, rest``, of the values that suffice to meet partners.
 
     Linked sets share at least ``_least_shared`` retained values, so each may leave out all but one
     of so many: the most frequent ones. Lists of common passages thereby go, nothing else does.
+    ``weight`` counts a set's shared values and ``rest`` those from this one on, by frequency.
+    ``whole`` says that ``sketch`` holds all values, not the smallest ones.
     """
     values = classes.select("node", "n", F.explode("sketch").alias("v"))
     counts = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     counts = materialize(counts, "value-counts")
-    shared = values.join(counts, "v").groupBy("node", "n")
+    shared = lookup_join(values, counts, ["v"], BROADCAST_BYTES).groupBy("node", "n")
     lists = shared.agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("found"))
-    spare = F.size("found") - _least_shared(F.col("n")) + 1
+    weight = F.size("found")
+    least = F.ceil(F.col("n") * PERCENT / 100) if whole else _least_shared(F.col("n"))
+    spare = weight - least + 1
     used = lists.where(spare > 0).withColumn("used", F.slice("found", F.lit(1), spare.cast("int")))
-    return used.select("node", "n", F.size("found").alias("weight"), F.explode("used.v").alias("v"))
+    placed = used.select("node", "n", weight.alias("weight"), F.posexplode("used.v").alias("at", "v"))
+    return placed.select("node", "n", "weight", (F.col("weight") - F.col("at")).alias("rest"), "v")
 
 
-def _fits(a: str, b: str) -> Column:
-    return 100 * F.least(F.col(a), F.col(b)) >= PERCENT * F.greatest(F.col(a), F.col(b))
+def _enough(n_a: Column, n_b: Column, whole: bool) -> Column:
+    """Values that sets of these sizes share at least if they are linked."""
+    exact = F.ceil((n_a + n_b) * PERCENT / (100 + PERCENT))
+    if whole:
+        return exact
+    both = (n_a <= K) & (n_b <= K)
+    return F.when(both, exact).otherwise(F.least(_least_shared(n_a), _least_shared(n_b)))
+
+
+def _may_link(n_a: Column, rest_a: Column, n_b: Column, rest_b: Column, whole: bool) -> Column:
+    """Whether sets of these sizes that meet at this value first can still share enough: what they
+    share comes from here on in both."""
+    fits = 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
+    return fits & (F.least(rest_a, rest_b) >= _enough(n_a, n_b, whole))
 
 
 def _linked(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
@@ -137,48 +157,65 @@ def _linked(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame
     ).select("a", "b")
 
 
-def _label(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings with their component, of lists that still hold several."""
+def _named(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings with the component that their class belongs to so far."""
     named = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = materialize(named, "named-postings")
-    several = named.groupBy("v").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    several = materialize(several.where("low <> high").select("v"), "open-lists")
-    return materialize(named.join(several, "v"), "open-postings")
+    return materialize(named, "named-postings")
 
 
-def _pairs_left(postings: DataFrame) -> int:
-    """Pairs in one list and different components, lists added up."""
-    parts = postings.groupBy("v", "comp").agg(F.count("*").alias("c"))
-    sums = parts.groupBy("v").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s"))
-    return sums.agg(F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()[0] or 0
-
+def _stars(postings: DataFrame) -> DataFrame:
+    """The members of each list paired with its pivot, the member that shares most: in a group of
+    copies that is the copied text."""
+    top = F.max(F.struct("weight", "node", "n", "rest")).alias("top")
+    pivots = postings.groupBy("v").agg(top, F.count("*").alias("c")).where("c > 1")
+    pivots = pivots.select(
+        "v", F.col("top.node").alias("pivot"), F.col("top.n").alias("p_n"), F.col("top.rest").alias("p_rest")
+    )
+    met = postings.join(materialize(pivots, "pivots"), "v").where("node <> pivot")
+    met = met.where(_may_link(F.col("n"), F.col("rest"), F.col("p_n"), F.col("p_rest"), False))
+    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
-def _stars(postings: DataFrame, turn: int) -> DataFrame:
-    """Each list's members paired with one of them, its pivot of this turn.
 
-    The first pivot is the member that shares most, which in a group of copies is the copied text;
-    later ones are drawn by hash, so that they differ from list to list and turn to turn.
-    """
-    drawn = F.struct("weight", "node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
-    order = postings.withColumn("order", drawn)
-    pivots = order.groupBy("v").agg(
-        F.max("order").alias("top"), F.max_by("n", "order").alias("p_n"), F.max_by("comp", "order").alias("p_comp")
+def _open_lists(named: DataFrame) -> DataFrame:
+    """Lists that hold several components, with their members ``c`` and smallest set ``low``."""
+    lists = named.groupBy("v").agg(
+        F.count("*").alias("c"), F.min("n").alias("low"),
+        F.min("comp").alias("first"), F.max("comp").alias("last"),
     )
-    pivots = pivots.select("v", F.col("top.node").alias("pivot"), "p_n", "p_comp")
-    pivots = materialize(pivots, "pivots")
-    met = postings.join(pivots, "v").where("comp <> p_comp").where(_fits("n", "p_n"))
-    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    return materialize(lists.where("first <> last").select("v", "c", "low"), "open-lists")
 
 
-def _all_pairs(postings: DataFrame) -> DataFrame:
-    """All pairs of different components in the lists that are still open."""
-    one = postings.select("v", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("c_a"))
-    two = postings.select("v", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("c_b"))
-    met = one.join(two, "v").where("a < b AND c_a <> c_b").where(_fits("n_a", "n_b"))
+def _all_pairs(named: DataFrame, lists: DataFrame, whole: bool) -> DataFrame:
+    """All pairs of different components in these lists that may be linked."""
+    left = materialize(named.join(lists.select("v"), "v"), "open-postings")
+
+    def side(name: str) -> DataFrame:
+        columns = {"node": name, "n": f"n_{name}", "rest": f"rest_{name}", "comp": f"c_{name}"}
+        return left.select("v", *[F.col(c).alias(new) for c, new in columns.items()])
+
+    met = side("a").join(side("b"), "v").where("a < b AND c_a <> c_b")
+    met = met.where(_may_link(F.col("n_a"), F.col("rest_a"), F.col("n_b"), F.col("rest_b"), whole))
     return met.select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, turns: int = 6) -> DataFrame:
+def _drawn_anew(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Postings of the whole sets of ``members`` (``node, comp``), for lists too large to compare.
+
+    With all values known, two sets must share a value among few, and a member whose values from
+    here on are fewer than even the list's smallest set asks for meets nobody in it. Twice, the
+    lists that this leaves with one component are closed.
+    """
+    whole = sets.join(members, "node").select("node", F.size("hashes").cast("bigint").alias("n"), F.col("hashes").alias("sketch"))
+    named = _named(materialize(_postings(whole, whole=True), "whole-postings"), members)
+    for _ in range(2):
+        lists = _open_lists(named)
+        low = F.greatest(F.col("low"), F.ceil(F.col("n") * PERCENT / 100))
+        useful = named.join(lists, "v").where(F.col("rest") >= _enough(F.col("n"), low, True))
+        named = materialize(useful.select(*named.columns), "useful-postings")
+    return named
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, list_size: int = LIST) -> DataFrame:
     """Per document ``doc_id, n_shingles, component_id, kept``: whom it is linked with.
 
     Documents are linked if their sets of ``words``-word shingles overlap by at least ``PERCENT`` of
@@ -187,9 +224,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, turns: int = 6) -> Data
     Documents with equal sets are one class, which one row stands for. The ``K`` smallest hashes of a
     class's set are its sketch; inverted lists of retained values bring classes together, the sketch
     of their union estimates the overlap, and the full sets decide. Within a list, members first meet
-    a pivot, and classes found linked are one component from then on; when few pairs of different
-    components are left in all lists, exactly those are compared. So a group of many near copies does
-    not become all its pairs, yet every pair is either compared or already connected.
+    a pivot, and classes found linked are one component from then on. Then lists of up to ``list_size``
+    members compare their pairs of different components. The members of larger ones are indexed by
+    their whole sets, which leaves little to compare. So a group of many near copies does not become
+    all its pairs, yet every pair is compared, already connected, or too different by its counts.
 
     A text without words (or null) has an empty set, is linked with nothing and is its own component.
     Fewer words than ``words`` make one shingle. Rows with a null ``doc_id`` take part, but only others
@@ -225,22 +263,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, turns: int = 6) -> Data
     sets = _sets(texts, words, None).groupBy(F.col("set_key").alias("node"))
     sets = materialize(sets.agg(F.first("hashes").alias("hashes")), "sets")
 
-    spark = docs.sparkSession
-    edges = spark.createDataFrame([], "a binary, b binary")
-    labels = spark.createDataFrame([], "node binary, comp binary")
-    open_lists, size = postings, postings.count()
-    for turn in range(turns + 1):
-        open_lists = _label(open_lists.select("v", "node", "n", "weight"), labels)
-        left = _pairs_left(open_lists)
-        if not left:
-            break
-        last = turn == turns or left <= _ENUMERATED * size
-        pairs = _all_pairs(open_lists) if last else _stars(open_lists, turn)
-        found = materialize(_linked(materialize(pairs, "pairs"), sketches, sets), "links")
-        edges = materialize(edges.union(found), "links")
-        labels = connected_components(edges)
-        if last:
-            break
+    links = _linked(materialize(_stars(postings), "pairs"), sketches, sets)
+    labels = connected_components(links)
+    named = _named(postings, labels)
+    lists = _open_lists(named)
+    small, large = lists.where(F.col("c") <= list_size), lists.where(F.col("c") > list_size)
+    pairs = _all_pairs(named, small, False)
+    if not large.isEmpty():
+        members = named.join(large.select("v"), "v").select("node", "comp").distinct()
+        anew = _drawn_anew(materialize(members, "large-members"), sets)
+        pairs = pairs.union(_all_pairs(anew, _open_lists(anew), True)).distinct()
+    links = _linked(materialize(pairs, "pairs"), sketches, sets)
+    labels = connected_components(links.union(labels.select("node", "comp")))
 
     named = classes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = materialize(named.select("node", "comp", "smallest"), "named-classes")

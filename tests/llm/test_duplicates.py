@@ -56,12 +56,11 @@ def family():
     return list(enumerate(texts, start=3))
 
 
-@pytest.mark.parametrize("turns", [0, 6])
-def test_components_equal_brute_force(spark, family, turns, monkeypatch):
+@pytest.mark.parametrize("list_size", [1, 64])  # with 1, all lists are drawn anew
+def test_components_equal_brute_force(spark, family, list_size):
     expected = components(family)
-    if turns:  # make the pivots do the work
-        monkeypatch.setattr(minhash, "_ENUMERATED", 0)
-    rows = minhash.near_duplicates(spark.createDataFrame(family, "doc_id bigint, text string"), turns=turns)
+    docs = spark.createDataFrame(family, "doc_id bigint, text string")
+    rows = minhash.near_duplicates(docs, list_size=list_size)
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows.collect()}
     assert found == {i: (len(shingles(t)), expected[i], expected[i] == i) for i, t in family}
 
