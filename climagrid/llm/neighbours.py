@@ -21,8 +21,9 @@ CONFIDENCE = 0.99
 BLOCK, QUERIES = 8192, 4096
 #: Bounds of the sample that places the cells, and of their number. Every row is indexed.
 SAMPLE, CELLS = 16_384, 4096
-LEAF = 64
+LEAF = 256
 
+_QUANTILE = chisquare.quantile(CONFIDENCE, PROJECTED)
 _PLACED = "vec_id bigint, vec binary, dim int, cell int"
 _FOUND = "query_id bigint, vec_id bigint, d2 double"
 
@@ -82,7 +83,7 @@ def _limit(bound: float, point: np.ndarray) -> float:
     so one beyond the limit is nearer than ``bound`` with a probability below 1 - CONFIDENCE.
     """
     rounding = 1e-9 * (1.0 + float(point @ point))
-    return bound * chisquare.quantile(CONFIDENCE, PROJECTED) * (1 + 1e-9) + rounding
+    return bound * _QUANTILE * (1 + 1e-9) + rounding
 
 
 class KdTree:
