@@ -133,7 +133,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return with_modules(chosen).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id``, ``ids`` and the bytes they stand for as ``decoded``.
 
     The inverse mapping by rank. Null ids decode to no bytes; an id outside the vocabulary raises.
@@ -143,7 +143,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = np.array(codec(ranks_path, pattern).tokens, dtype=object)
+        tokens = np.array(read_ranks(ranks_path), dtype=object)
         for batch in batches:
             column = batch.column("ids")
             bytes_of = [

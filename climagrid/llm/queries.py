@@ -71,9 +71,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again."""
-    arguments = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), *arguments)
-    return bpe.decode(encoded, *arguments).select(
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),

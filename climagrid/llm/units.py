@@ -21,11 +21,15 @@ WHITE_SPACE = (
 _UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]++|[{WHITE_SPACE}]++")
 
 #: Entries kept by a worker's lookup table before it starts anew: bounds memory, not results.
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 400_000
 #: Longer units are encoded each time and not kept.
 KEPT_CHARS = 64
 
 
+#: ASCII punctuation after a letter begins a token of its own, so a unit may be cut before it.
+_TAIL = re.compile(r"(.*[A-Za-z])([!-/:-@\[-`{-~]+)", re.DOTALL)
+
+
 class UnitTable:
     """Unit to packed little-endian unsigned 32-bit ids, filled by ``encode`` on demand."""
 
@@ -37,22 +41,32 @@ class UnitTable:
         """The packed ids of each text, in order."""
         for text in texts:
             units = _UNIT.findall(text)
-            missing = list(set(units).difference(self._known))
-            extra: dict[str, bytes] = {}
-            if missing:
-                if len(self._known) > TABLE_ENTRIES:
-                    self._known.clear()
-                    missing = list(set(units))
-                for unit, ids in zip(missing, self._encode(missing), strict=True):
-                    if len(unit) <= KEPT_CHARS:
-                        self._known[unit] = ids
-                    else:
-                        extra[unit] = ids
+            missing = set(units).difference(self._known)
+            if not missing:
+                yield b"".join(map(self._known.__getitem__, units))
+                continue
+            if len(self._known) > TABLE_ENTRIES:
+                self._known.clear()
+                missing = set(units)
+            extra = self._learn(missing)
             if extra:
                 yield b"".join([extra[u] if u in extra else self._known[u] for u in units])
             else:
                 yield b"".join(map(self._known.__getitem__, units))
 
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Puts the units into the table; returns those that are too long for it."""
+        known, cuts = self._known, {u: cut.groups() for u in missing if (cut := _TAIL.fullmatch(u))}
+        parts = {part for cut in cuts.values() for part in cut}
+        wanted = list((missing - cuts.keys() | parts).difference(known))
+        extra: dict[str, bytes] = {}
+        for unit, ids in zip(wanted, self._encode(wanted), strict=True):
+            (known if len(unit) <= KEPT_CHARS else extra)[unit] = ids
+        for unit, cut in cuts.items():
+            ids = b"".join([extra[part] if part in extra else known[part] for part in cut])
+            (known if len(unit) <= KEPT_CHARS else extra)[unit] = ids
+        return extra
+
 
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``chars`` bytes of text, so that long texts do not pile up."""
