@@ -36,7 +36,7 @@ _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": rf"(?<![A-Za-z0-9]){_LABEL}\s{{0,3}}[=:]\s{{0,3}}[\"']?[A-Za-z0-9_+/-]{{16,128}}",
+    "secret": rf"(?<![A-Za-z0-9]){_LABEL}\s{{0,3}}[=:]\s{{0,3}}[\"']?(?=[_+/-]{{0,127}}[A-Za-z0-9])[A-Za-z0-9_+/-]{{16,128}}",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3})(?![0-9])",
     "phone": r"(?<![0-9A-Za-z.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
@@ -44,9 +44,10 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 
-#: Draws for one entity, and characters of keyed hash for each: two hexadecimal digits a character.
-ATTEMPTS = 64
+#: Blocks of keyed hash for each draw: two hexadecimal digits a character.
 _BLOCKS = 6
+#: Draws after which an IP address of version 4 gets one of version 6, whose space is never full.
+_WIDER_IP = 16
 
 
 def _digits(text: Column) -> Column:
@@ -88,6 +89,16 @@ def _alike(text: Column, stream: Column, letters: int | Column = 26) -> Column:
     return F.array_join(F.transform(_chars(text), one), "")
 
 
+def _wider(text: Column, attempt: Column) -> Column:
+    """The value to draw one like: longer after every other collision, so that no space is full.
+
+    A value without letters or digits, of which there is no other, gives way to letters.
+    """
+    pad = F.when(text.rlike("^[0-9]+$"), "0").when(text.rlike("[A-Z]") & ~text.rlike("[a-z]"), "A").otherwise("a")
+    base = F.when(text.rlike("[A-Za-z0-9]"), text).otherwise(F.lit("aaaaaaaa"))
+    return F.concat(base, F.repeat(pad, F.floor(attempt / 2).cast("int")))
+
+
 def _check_digit(body: Column) -> Column:
     """What makes the digits before it pass the check of card numbers."""
 
@@ -143,24 +154,28 @@ def _surrogate() -> Column:
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     host = F.substring_index(domain, ".", 1)
     email = F.concat(
-        _alike(local, stream), F.lit("@"), _alike(host, F.reverse(stream)), F.lit(".example.org")
+        _alike(_wider(local, attempt), stream), F.lit("@"), _alike(host, F.reverse(stream)), F.lit(".example.org")
     )
     octets = [(_byte(stream, 1) % 223 + 1).cast("string")]
     octets += [_byte(stream, i).cast("string") for i in (2, 3, 4)]
-    first = (_byte(stream, 1) % 8 + 2).cast("string")
-    phone = F.concat(first, F.substring(_alike(entity, stream), F.lit(2), F.length(entity)))
+    blocks = [F.substring(stream, i, 4) for i in range(1, 25, 4)]
+    ip = F.when(attempt < _WIDER_IP, F.concat_ws(".", *octets)).otherwise(
+        F.concat_ws(":", F.lit("2001:db8"), *blocks)
+    )
+    first, digits = (_byte(stream, 1) % 8 + 2).cast("string"), _wider(entity, attempt)
+    phone = F.concat(first, F.substring(_alike(digits, stream), F.lit(2), F.length(digits)))
     body = F.concat(
-        _at(entity, 1), F.substring(_alike(entity, stream), F.lit(2), F.length(entity) - 2)
+        _at(entity, 1), F.substring(_alike(digits, stream), F.lit(2), F.length(digits) - 2)
     )
     card = F.concat(body, _check_digit(body))
     letters = F.when(entity.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), 6).otherwise(26)
     return (
         F.when(kind == "email", email)
-        .when(kind == "ip", F.concat_ws(".", *octets))
+        .when(kind == "ip", ip)
         .when(kind == "phone", phone)
         .when(kind == "card", card)
         .when(kind == "name", _person(entity, stream, attempt))
-        .otherwise(_alike(entity, stream, letters))
+        .otherwise(_alike(_wider(entity, attempt), stream, letters))
     )
 
 
@@ -180,16 +195,20 @@ def _person(entity: Column, stream: Column, attempt: Column) -> Column:
     return whole
 
 
-def _written(raw: Column, kind: Column, prefix: Column, new: Column) -> Column:
-    """The surrogate in the format of the mention: its punctuation, country code and case."""
+def _written(raw: Column, kind: Column, prefix: Column, entity: Column, new: Column) -> Column:
+    """The surrogate in the format of the mention: its punctuation, country code and case.
+
+    Digits that it has beyond the entity's follow at the end.
+    """
     number = _digits(raw)
-    given = F.length(number) - F.length(new)
+    given = F.length(number) - F.length(entity)
 
     def fill(i: Column) -> Column:
         place = F.length(_digits(F.substring(raw, F.lit(1), i)))
         return F.when(_at(raw, i).rlike("[0-9]") & (place > given), _at(new, place - given)).otherwise(_at(raw, i))
 
-    filled = F.array_join(F.transform(_chars(raw), fill), "")
+    rest = F.substring(new, F.length(entity) + 1, F.length(new))
+    filled = F.concat(F.array_join(F.transform(_chars(raw), fill), ""), rest)
     shouted = (F.upper(raw) == raw) & (F.lower(raw) != raw)
     name = F.initcap(F.substring(new, F.lit(3), F.length(new)))
     return (
@@ -205,11 +224,12 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
 
     All draws are compared by joins and grouped aggregates over the entities alone. Of equal draws
     the one of fewer attempts stays, then the smaller entity; the others, and draws that are
-    themselves an entity of the corpus, are drawn anew until none is left.
+    themselves an entity of the corpus, are drawn anew until none is left. What is drawn from
+    widens with the attempts for every kind, so that this ends however many entities there are.
     """
     drawn = entities.select("kind", "entity", F.lit(0).alias("attempt"))
     known = materialize(entities.select(F.col("kind").alias("k"), F.col("entity").alias("e")), "known")
-    for _ in range(ATTEMPTS):
+    while True:
         drawn = drawn.withColumn("stream", _stream(key)).withColumn("new", _surrogate())
         drawn = materialize(drawn.drop("stream"), "drawn")
         firsts = drawn.groupBy("kind", "new").agg(
@@ -228,7 +248,6 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
         drawn = drawn.drop("new").join(again, ["kind", "entity"], "left").select(
             "kind", "entity", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")
         )
-    raise ValueError(f"no distinct surrogates after {ATTEMPTS} attempts")
 
 
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
@@ -261,7 +280,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     entities = mentions.where("kind IS NOT NULL").select("kind", "entity").distinct()
     surrogates = assign_surrogates(materialize(entities, "entities"), key)
     named = mentions.join(surrogates, ["kind", "entity"]).select(
-        "raw", _written(F.col("raw"), F.col("kind"), F.col("prefix"), F.col("new")).alias("new")
+        "raw", _written(*map(F.col, ("raw", "kind", "prefix", "entity", "new"))).alias("new")
     )
     named = materialize(named, "replacements")
     placed = lists.select("__mentions", F.posexplode("found").alias("pos", "raw")).join(named, "raw", "left")

@@ -137,6 +137,24 @@ def test_collisions_are_drawn_again(spark):
     assert len(new) == len(set(new)) == 401 and not set(new) & set(entities)
 
 
+def test_small_spaces_widen_until_all_differ(spark):
+    line = "_" * 20
+    short = [f"{i}@{j}.{k:02d}" for i in range(10) for j in range(10) for k in range(3)]
+    texts = [f"Password: {line}", "-@-.com -@-.net", " ".join(short), f"Token: {line}1 Token: {line}2"]
+    texts += [" ".join(f"Secret: {line}{a}{b}" for a in "0123456789" for b in "+-")]
+    docs = awkward(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    found = {r.doc_id: r for r in surrogates.replace_entities(docs, "key").collect()}
+    assert found[0].text == texts[0] and [found[i].n_replaced for i in range(5)] == [0, 2, 300, 2, 20]
+    for i in (1, 2):
+        new = found[i].text.split()
+        assert len(set(new)) == len(texts[i].split()) and not set(new) & set(texts[i].split())
+    secrets = (found[3].text + " " + found[4].text).replace("Token: ", "").replace("Secret: ", "").split()
+    assert len(set(secrets)) == 22
+    entities = [("phone", f"{i:02d}") for i in range(100)]
+    new = surrogates.assign_surrogates(spark.createDataFrame(entities, "kind string, entity string"), "k").collect()
+    assert len({r.new for r in new} - {e for _, e in entities}) == 100
+
+
 def test_nothing_private_is_left(spark):
     docs = pd.read_parquet(f"{SF}/documents.parquet").set_index("doc_id").text
     private = "|".join(surrogates.PATTERNS[k] for k in ("email", "ip", "phone", "secret"))
