@@ -15,7 +15,7 @@ from climagrid.llm.shipping import with_modules
 Turn = tuple[str, str]
 Template = Callable[[Sequence[Turn]], str]
 
-#: Turns after which a long history may be shortened, and turns then kept.
+#: Turns after which the history of a template with ``append_only`` is shortened, and turns then kept.
 HISTORY, KEPT = 64, 16
 
 BEGIN, INSTRUCTION, END_INSTRUCTION, END = "<s>", "[INST]", "[/INST]", "</s>"
@@ -53,6 +53,10 @@ def instruction_template(turns: Sequence[Turn]) -> str:
     return "".join(parts)
 
 
+#: A template's own word that what a turn adds depends on that turn alone, and stays.
+instruction_template.append_only = True
+
+
 def read_turn(span: str) -> tuple[str, str, int, int]:
     """Role, text, and the escaped text's place in one turn's span of ``instruction_template``."""
     found = _TURN.fullmatch(span)
@@ -68,6 +72,7 @@ class Prefixes:
 
     def __init__(self, template: Template, history: int = HISTORY, kept: int = KEPT):
         self._template, self._limit, self._kept = template, history, kept
+        self._append_only = getattr(template, "append_only", False)
         self._turns: list[Turn] = []
         self._text = template([])
         self.head = self._text  # what the template writes before any turn
@@ -81,7 +86,7 @@ class Prefixes:
             same = len(commonprefix([self._text, rendered]))
         span, taken = rendered[same:], len(self._text) - same
         self._text = rendered
-        if len(self._turns) >= self._limit:
+        if self._append_only and len(self._turns) >= self._limit:
             self._shorten()
         return span, taken
 
@@ -117,9 +122,10 @@ def format_conversations(
     ``rewrites_history`` is true where there are any. The spans of a conversation without such turns,
     put together, are its output.
 
-    The turns stream through the task, sorted by Spark, which spills: a task holds ``history`` turns,
-    not the conversation. Beyond that the last turns serve as history if the template writes them
-    alike from there; a template for which that does not hold is given the whole history.
+    The turns stream through the task, sorted by Spark, which spills. A template is given the whole
+    conversation so far, so that it is seen whenever it rewrites; the task holds one conversation. Only
+    for a template with a true attribute ``append_only`` a task holds ``history`` turns: beyond that
+    the last ones serve as history, if the template writes them alike from there.
 
     Null roles and texts are empty, null turns sort first, null ``conv_id`` rows are one
     conversation. Other columns are ignored. An empty table gives no rows.

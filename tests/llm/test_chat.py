@@ -74,6 +74,20 @@ def test_templates_with_a_long_memory_get_the_whole_history():
     assert len(short._turns) < 8
 
 
+def test_a_template_that_trims_late_is_found(spark):
+    def trimming(turns):
+        """Shows the last 80 turns."""
+        return "".join(f"<{r}>{t}" for r, t in turns[-80:])
+
+    rows = [(1, i, "user", f"turn {i}", None) for i in range(200)]
+    spans = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), trimming).collect()
+    assert [r.rewrites_history for r in spans] == [i >= 80 for i in range(200)]
+    text = ""
+    for i, r in enumerate(spans):
+        text = text[: r.span_start] + r.span
+        assert text == trimming([(role, said) for _, _, role, said, _ in rows[: i + 1]])
+
+
 def test_no_conversations(spark):
     spans = chat.format_conversations(spark.createDataFrame([], SCHEMA))
     assert chat.digest_conversations(spans).count() == 0
