@@ -24,8 +24,14 @@ REPEAT_PERCENT = 30
 
 #: Groups with fewer rows share an estimate: with their language's other small ones, or with all.
 MIN_GROUP = 200
-#: Share of a group's rows that an estimate rests on, and improvement steps.
-SUPPORT, STEPS = 0.75, 4
+#: Share of a group's rows that an estimate rests on, and improvement steps. Just over a half stands
+#: the most junk, a little less than the other half.
+SUPPORT, STEPS = 0.51, 10
+#: Another start's estimate is taken if the logarithm of its determinant is lower by more than this;
+#: less is what a start still lacks after ``STEPS``.
+CLEARLY = 0.1
+#: Rows within this quantile under the best estimate take part in the reweighted one.
+REWEIGHTED = 0.975
 #: A row is rejected beyond this quantile of the chi-square distribution.
 CONFIDENCE = 1 - 1e-4
 
@@ -151,7 +157,7 @@ def _groups(rows: DataFrame, min_group: int) -> DataFrame:
 
 _NAMES = list(FLOORS)
 _PAIRS = [(i, j) for i in range(_DIMS) for j in range(i + 1)]
-_ESTIMATE = ["grp", *[f"m{i}" for i in range(_DIMS)], *[f"w{i}_{j}" for i, j in _PAIRS]]
+_ESTIMATE = ["grp", "start", *[f"m{i}" for i in range(_DIMS)], *[f"w{i}_{j}" for i, j in _PAIRS]]
 
 
 def _distance() -> Column:
@@ -166,7 +172,7 @@ def _distance() -> Column:
 
 
 def _estimates(moments: DataFrame, factor: float) -> DataFrame:
-    """Means and whitening matrices from ``grp, n``, sums ``s*`` and sums of products ``p*``."""
+    """Means and whitening matrices from ``grp, start, n``, sums ``s*`` and sums of products ``p*``."""
     floors = np.diag(np.square(list(FLOORS.values())))
 
     def run(frames):
@@ -182,10 +188,11 @@ def _estimates(moments: DataFrame, factor: float) -> DataFrame:
                 values, axes = np.linalg.eigh(spread * factor)
                 spread = (axes * np.maximum(values, 0)) @ axes.T + floors
                 white = np.linalg.inv(np.linalg.cholesky(spread))
-                rows.append([row["grp"], *mean, *[white[i, j] for i, j in _PAIRS]])
+                rows.append([row["grp"], row["start"], *mean, *[white[i, j] for i, j in _PAIRS]])
             yield pd.DataFrame(rows, columns=_ESTIMATE)
 
-    schema = ", ".join(f"{n} {'double' if n != 'grp' else 'string'}" for n in _ESTIMATE)
+    kinds = {"grp": "string", "start": "int"}
+    schema = ", ".join(f"{n} {kinds.get(n, 'double')}" for n in _ESTIMATE)
     return moments.mapInPandas(run, schema)
 
 
@@ -194,17 +201,17 @@ def _bin() -> Column:
     return F.floor(16 * F.log2(F.col("d2") + 1e-6)).cast("int")
 
 
-def _quantile_bin(measured: DataFrame, share: float) -> DataFrame:
-    """``grp, edge``: the bin up to which a group has at least ``share`` of its rows.
+def _quantile_bin(measured: DataFrame, share: float, keys: list[str]) -> DataFrame:
+    """``keys, edge``: the bin up to which a group has at least ``share`` of its rows.
 
     The counts are exact and cover all rows; a group has a bounded number of bins.
     """
-    counts = measured.groupBy("grp", _bin().alias("bin")).agg(F.count("*").alias("c"))
-    group = Window.partitionBy("grp")
+    counts = measured.groupBy(*keys, _bin().alias("bin")).agg(F.count("*").alias("c"))
+    group = Window.partitionBy(*keys)
     summed = counts.withColumns(
         {"below": F.sum("c").over(group.orderBy("bin")), "n": F.sum("c").over(group)}
     )
-    return summed.where(F.col("below") >= F.ceil(share * F.col("n"))).groupBy("grp").agg(
+    return summed.where(F.col("below") >= F.ceil(share * F.col("n"))).groupBy(*keys).agg(
         F.min("bin").alias("edge")
     )
 
@@ -212,36 +219,84 @@ def _quantile_bin(measured: DataFrame, share: float) -> DataFrame:
 def minimum_covariance(rows: DataFrame, steps: int = STEPS, support: float = SUPPORT) -> DataFrame:
     """Per group the minimum-covariance-determinant estimate, as means and a whitening matrix.
 
-    It starts from medians and interquartile ranges. Each step keeps the ``support`` share of rows
-    that are nearest under the last estimate and takes their mean and covariance, which never
-    raises the determinant; all rows of all groups take part in every step, as partial aggregates.
-    The covariance is scaled to be consistent for normal data and raised by ``FLOORS``.
+    It starts from medians with interquartile ranges and from medians with median absolute deviations.
+    Neither is near junk of less than half a group; from starts that are, copies of one vector, a third
+    of the rows, would have the smallest determinant. From each start, each step keeps the ``support`` share of rows that are nearest under the last estimate and
+    takes their mean and covariance, which never raises the determinant; all rows of all groups take
+    part in every step, as partial aggregates. The estimate of the smallest determinant is taken, the
+    first start's unless another is ``CLEARLY`` smaller. The covariance is scaled to be consistent for
+    normal data and raised by ``FLOORS``.
     """
-    middle = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(n) for n in _NAMES]
-    start = rows.groupBy("grp").agg(*middle)
+    middle = [F.percentile_approx(n, [0.25, 0.5, 0.75], 10000).alias(n) for n in _NAMES]
+    quartiles = rows.groupBy("grp").agg(*middle)
+    ranges = [(F.col(n)[2] - F.col(n)[0]) / 1.349 for n in _NAMES]
+    first = materialize(_start(quartiles, 0, [F.col(n)[1] for n in _NAMES], ranges), "estimate")
+    far = lookup_join(rows, first, ["grp"]).groupBy("grp").agg(
+        *[F.first(f"m{i}").alias(f"c{i}") for i in range(_DIMS)],
+        *[F.percentile_approx(F.abs(F.col(n) - F.col(f"m{i}")), 0.5, 10000).alias(n) for i, n in enumerate(_NAMES)],
+    )
+    centres = [F.col(f"c{i}") for i in range(_DIMS)]
+    second = materialize(_start(far, 1, centres, [F.col(n) / 0.6745 for n in _NAMES]), "estimate")
+    estimate = materialize(first.union(second), "estimate")
+    factor = _consistency(support)
+    starts = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+    keys = ["grp", "start"]
+    for _ in range(steps):
+        measured = lookup_join(starts, estimate, keys).withColumn("d2", _distance())
+        measured = measured.select(*keys, "d2", *_NAMES)
+        edges = materialize(_quantile_bin(measured, support, keys), "edges")
+        near = lookup_join(measured, edges, keys).where(_bin() <= F.col("edge"))
+        estimate = materialize(_estimates(_moments(near, keys), factor), "estimate")
+    # The whitening matrix is triangular; its diagonal gives the determinant.
+    size = -2 * sum((F.log(f"w{i}_{i}") for i in range(_DIMS)), F.lit(0.0))
+    rank = F.struct(F.when(F.col("start") == 0, size - CLEARLY).otherwise(size), "start")
+    best = estimate.groupBy("grp").agg(F.min_by(F.struct(*_ESTIMATE[2:]), rank).alias("best"))
+    return materialize(best.select("grp", "best.*"), "estimate")
+
+
+def _consistency(share: float) -> float:
+    """What makes the covariance of the nearest ``share`` of normal rows that of all."""
+    return share / chisquare.cdf(chisquare.quantile(share, _DIMS), _DIMS + 2)
+
+
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        *[F.sum(n).alias(f"s{i}") for i, n in enumerate(_NAMES)],
+        *[F.sum(F.col(_NAMES[i]) * F.col(_NAMES[j])).alias(f"p{i}_{j}") for i, j in _PAIRS],
+    )
 
-    def spread(name: str) -> Column:
-        return F.greatest((F.col(name)[2] - F.col(name)[0]) / 1.349, F.lit(FLOORS[name]))
 
-    estimate = start.select(
+def _start(groups: DataFrame, start: int, centres: list[Column], spreads: list[Column]) -> DataFrame:
+    """An estimate of components apart, their deviations raised to ``FLOORS`` at least."""
+    scales = [F.greatest(s, F.lit(FLOORS[n])) for s, n in zip(spreads, _NAMES, strict=True)]
+    return groups.select(
         "grp",
-        *[F.col(n)[1].alias(f"m{i}") for i, n in enumerate(_NAMES)],
-        *[(1 / spread(_NAMES[i]) if i == j else F.lit(0.0)).alias(f"w{i}_{j}") for i, j in _PAIRS],
+        F.lit(start).alias("start"),
+        *[c.alias(f"m{i}") for i, c in enumerate(centres)],
+        *[(1 / scales[i] if i == j else F.lit(0.0)).alias(f"w{i}_{j}") for i, j in _PAIRS],
     )
-    estimate = materialize(estimate, "estimate")
-    factor = support / chisquare.cdf(chisquare.quantile(support, _DIMS), _DIMS + 2)
-    for _ in range(steps):
-        measured = lookup_join(rows, estimate, ["grp"]).withColumn("d2", _distance())
-        measured = measured.select("grp", "d2", *_NAMES)
-        edges = materialize(_quantile_bin(measured, support), "edges")
-        near = lookup_join(measured, edges, ["grp"]).where(_bin() <= F.col("edge"))
-        moments = near.groupBy("grp").agg(
-            F.count("*").alias("n"),
-            *[F.sum(n).alias(f"s{i}") for i, n in enumerate(_NAMES)],
-            *[F.sum(F.col(_NAMES[i]) * F.col(_NAMES[j])).alias(f"p{i}_{j}") for i, j in _PAIRS],
-        )
-        estimate = materialize(_estimates(moments, factor), "estimate")
-    return estimate
+
+
+def _reweighted(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Means and whitening matrices of all rows that are not far under ``estimate``.
+
+    Distances are scaled to the group's median where that exceeds the one of normal data, so at least
+    about half of a group takes part.
+    """
+    measured = lookup_join(rows, estimate, ["grp"]).withColumn("d2", _distance())
+    measured = _scaled(measured.select("grp", "d2", *_NAMES))
+    near = measured.where(F.col("d2") <= chisquare.quantile(REWEIGHTED, _DIMS) * F.col("scale"))
+    found = _estimates(_moments(near.withColumn("start", F.lit(0)), ["grp", "start"]), _consistency(REWEIGHTED))
+    return materialize(found.drop("start"), "estimate")
+
+
+def _scaled(measured: DataFrame) -> DataFrame:
+    """Adds ``scale``: how far the group's median distance exceeds that of normal data, or 1."""
+    middles = materialize(_quantile_bin(measured, 0.5, ["grp"]), "middles")
+    usual = chisquare.quantile(0.5, _DIMS)
+    scale = F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / 16) / usual, F.lit(1.0))
+    return lookup_join(measured, middles.select("grp", scale.alias("scale")), ["grp"])
 
 
 def quality_verdicts(
@@ -251,8 +306,9 @@ def quality_verdicts(
 
     Rows that fail the base rules are rejected and have no distance. For the others, a minimum
     covariance determinant is estimated per language and source over all rows; languages' small
-    sources are pooled, and so are small languages. A group whose median distance exceeds that of
-    normal data is judged on that scale. Rows beyond the ``confidence`` quantile are rejected.
+    sources are pooled, and so are small languages. ``d2`` is the distance under it. The verdict is by
+    the estimate reweighted over all rows not far from it: a group whose median distance exceeds that
+    of normal data is judged on that scale, and rows beyond the ``confidence`` quantile are rejected.
 
     Null ``lang`` and ``source``, or missing columns, are labels like any other. A null or empty text
     has no words and fails. Each row counts, also with a null or repeated ``doc_id``; other columns
@@ -264,11 +320,13 @@ def quality_verdicts(
     estimate = minimum_covariance(grouped)
     judged = lookup_join(grouped, estimate, ["grp"]).withColumn("d2", _distance())
     judged = judged.select(*rows.columns, "grp", "d2")
-    middles = materialize(_quantile_bin(judged, 0.5), "middles")
-    usual = chisquare.quantile(0.5, _DIMS)
-    scale = F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / 16) / usual, F.lit(1.0))
-    limit = chisquare.quantile(confidence, _DIMS)
-    judged = lookup_join(judged, middles, ["grp"]).withColumn("kept", F.col("d2") <= limit * scale)
+    # The best half alone misjudges the tails; the verdict is by all rows that are not far from it.
+    names = [c for c in judged.columns if c != "d2"]
+    judged = lookup_join(judged.withColumnRenamed("d2", "raw_d2"), _reweighted(grouped, estimate), ["grp"])
+    judged = judged.withColumn("d2", _distance()).select(*names, "raw_d2", "d2")
+    limit = chisquare.quantile(confidence, _DIMS) * F.col("scale")
+    judged = _scaled(judged).withColumn("kept", F.col("d2") <= limit).drop("d2")
+    judged = judged.withColumnRenamed("raw_d2", "d2")
     failed = rows.where("base_failed").withColumns(
         {"d2": F.lit(None).cast("double"), "kept": F.lit(False)}
     )

@@ -67,6 +67,20 @@ def test_distances_equal_a_plain_estimate(spark):
     assert np.allclose(found.d2[rows.doc_id].to_numpy(), expected, rtol=1e-6)
 
 
+def test_a_third_of_junk_copies_does_not_become_the_norm(spark):
+    draw, floors = np.random.default_rng(1), np.array(list(quality.FLOORS.values()))
+    clean, junk = draw.normal(size=(670, 7)) * 2 * floors, np.linspace(3, 4, 7) * 2 * floors
+    narrow = np.array([10, 0, 0, 0, 0, 0, 0]) * 2 * floors + clean[:400]
+    limit = chisquare.quantile(quality.CONFIDENCE, 7)
+    for good, bad in ((clean, np.tile(junk, (330, 1))), (np.vstack([clean, clean[400:]]), narrow)):
+        table = pd.DataFrame(np.vstack([good, bad]), columns=list(quality.FLOORS)).assign(grp="g")
+        rows = spark.createDataFrame(table.assign(good=[True] * len(good) + [False] * len(bad)))
+        found = quality._reweighted(rows, quality.minimum_covariance(rows))
+        judged = quality.lookup_join(rows, found, ["grp"]).withColumn("d2", quality._distance()).toPandas()
+        assert (judged.d2[judged.good] <= limit).mean() > 0.99
+        assert judged.d2[~judged.good].min() > limit
+
+
 def test_labelled_junk_goes_and_clean_documents_stay(spark):
     labels = pd.read_parquet(f"{SF}/labels.parquet")
     found = QUERIES["op3_quality_rules"](spark, SF).toPandas().merge(labels, on="doc_id")
