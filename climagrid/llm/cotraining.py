@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from climagrid.sources.scratch import materialize
 
-#: Bounds of what the classifiers are fitted on: labelled rows, and rows waiting for a pseudo-label.
-LABELLED, POOL = 20_000, 20_000
-#: Rounds, and pseudo-labels that each view adds per class and round.
-ROUNDS, ADDED = 3, 500
+#: Bound of the labelled rows that the classifiers are fitted on.
+LABELLED = 20_000
+ROUNDS = 3
 #: A pseudo-label must be at least this probable.
 CONFIDENT = 0.95
 WORD_BUCKETS, PAGE_BUCKETS = 4096, 512
@@ -79,7 +78,7 @@ def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
     return LogisticRegression(
         featuresCol=view, labelCol="label", rawPredictionCol=f"raw_{view}",
         probabilityCol=f"p_{view}", predictionCol=f"y_{view}",
-        regParam=REGULARISATION, maxIter=50, aggregationDepth=2,
+        weightCol="weight", regParam=REGULARISATION, maxIter=50, aggregationDepth=2,
     ).fit(rows)
 
 
@@ -95,13 +94,21 @@ def _first(rows: DataFrame, limit: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
-def _confident(pool: DataFrame, odds: str, added: int) -> DataFrame:
-    """The pool's most certain rows of either class: ``doc_id, label``."""
-    least = F.lit(CONFIDENT / (1 - CONFIDENT))
-    good = pool.where(F.exp(odds) >= least).orderBy(F.desc(odds), "doc_id").limit(added)
-    bad = pool.where(F.exp(-F.col(odds)) >= least).orderBy(odds, "doc_id").limit(added)
-    return good.select("doc_id", F.lit(1.0).alias("label")).union(
-        bad.select("doc_id", F.lit(0.0).alias("label"))
+def _lesson(pool: DataFrame, model: LogisticRegressionModel, teacher: str, view: str) -> DataFrame:
+    """All rows that the teacher is sure of: the other ``view`` with ``label``."""
+    least, odds = F.lit(CONFIDENT / (1 - CONFIDENT)), F.col("odds")
+    label = F.when(F.exp(odds) >= least, 1.0).when(F.exp(-odds) >= least, 0.0)
+    judged = _scored(model, pool, teacher, "odds").withColumn("label", label)
+    return judged.where("label IS NOT NULL").select(view, "label")
+
+
+def _weighed(lesson: DataFrame, train: DataFrame) -> DataFrame:
+    """Adds ``weight``: a class of the lesson weighs at most what it does among the labelled rows."""
+    taught = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    found = {r["label"]: r["count"] for r in lesson.groupBy("label").count().collect()}
+    weight = {c: min(1.0, taught.get(c, 0) / found[c]) for c in found}
+    return lesson.withColumn(
+        "weight", F.when(F.col("label") == 1, weight.get(1.0, 0.0)).otherwise(weight.get(0.0, 0.0))
     )
 
 
@@ -111,12 +118,12 @@ def quality_scores(
     """``doc_id, text_score, page_score, score, kept``: the probability of ``target`` for every row.
 
     A classifier of the text's content and one of the page's metadata are fitted on labelled rows.
-    In each round both score a pool of unlabelled rows, and the surest of each class that one view
-    finds become labels for the other. At the end each view's log-odds are calibrated on held-out
+    In each round both score all unlabelled rows, and every row that one view is sure of becomes a label
+    for the other; a class of them weighs at most as much as among the labelled rows. At the end each view's log-odds are calibrated on held-out
     labelled rows (a logistic regression of its own), and another over both combines them.
 
-    The fits use bounded samples: ``LABELLED`` labelled and ``POOL`` unlabelled rows, chosen by hash
-    of the id. Scores cover all rows and whole texts. Rows whose label is null are unlabelled. If
+    The fits use at most ``LABELLED`` labelled rows, chosen by hash of the id, and all unlabelled ones.
+    Scores cover all rows and whole texts. Rows whose label is null are unlabelled. If
     labelled documents of one class, or any, are missing, every score is the share of class 1 among
     them (0.5 without any).
 
@@ -129,16 +136,10 @@ def quality_scores(
         F.max(F.col(target).cast("double")).alias("label")
     )
     chosen = materialize(_first(known.withColumnRenamed("label_id", "doc_id"), LABELLED), "labelled-ids")
-    # Both samples are bounded; their ids are found first, so only their rows become vectors.
-    unlabelled = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL")
-    unlabelled = unlabelled.join(known, F.col("doc_id") == F.col("label_id"), "left_anti")
-    pool_ids = _first(unlabelled.distinct(), POOL).withColumn("label", F.lit(None).cast("double"))
-    ids = materialize(chosen.union(pool_ids), "sample-ids")
-    wanted = ids.select(F.col("doc_id").alias("sample_id"), "label")
-    picked = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("sample_id"), "left_semi")
-    vectors = _views(picked).dropDuplicates(["doc_id"]).join(F.broadcast(ids), "doc_id")
-    sample = materialize(vectors.coalesce(8), "sample")
-    labelled = sample.where("label IS NOT NULL")
+    # The vectors of all rows are kept once, for every round and for the scores at the end.
+    vectors = materialize(_views(docs), "vectors")
+    picked = vectors.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    labelled = materialize(picked.withColumn("weight", F.lit(1.0)).coalesce(8), "sample")
     sums = labelled.agg(F.count("*"), F.sum("label")).first()
     if not sums[0] or sums[1] in (0, sums[0]):
         share = sums[1] / sums[0] if sums[0] else 0.5
@@ -148,20 +149,18 @@ def quality_scores(
     train, held = labelled.where(~held_out), labelled.where(held_out)
     if train.select("label").distinct().count() < 2:
         train = labelled
-    pool = sample.where("label IS NULL").drop("label")
+    pool = vectors.where("doc_id IS NOT NULL").join(known, F.col("doc_id") == F.col("label_id"), "left_anti")
+    pool = materialize(pool, "pool")
 
-    taught = {"text_view": train, "page_view": train}
-    models = {view: _fit(rows, view) for view, rows in taught.items()}
+    models = {view: _fit(train, view) for view in ("text_view", "page_view")}
     for _ in range(rounds):
-        judged = pool
-        for view, model in models.items():
-            judged = _scored(model, judged, view, f"odds_{view}")
-        judged = materialize(judged.select("doc_id", "odds_text_view", "odds_page_view"), "pool-odds")
+        lessons = {}
         for view, teacher in (("text_view", "page_view"), ("page_view", "text_view")):
-            lesson = pool.join(F.broadcast(_confident(judged, f"odds_{teacher}", ADDED)), "doc_id")
+            lesson = materialize(_lesson(pool, models[teacher], teacher, view), "lesson")
             # A row taught before is not added again: each round's lesson replaces the last one.
-            taught[view] = materialize(train.unionByName(lesson), "taught")
-        models = {view: _fit(rows, view) for view, rows in taught.items()}
+            own = train.select(view, "label", "weight")
+            lessons[view] = own.unionByName(_weighed(lesson, train))
+        models = {view: _fit(rows, view) for view, rows in lessons.items()}
 
     odds = ["odds_text_view", "odds_page_view"]
     proof = held if held.select("label").distinct().count() == 2 else train
@@ -178,7 +177,7 @@ def quality_scores(
             total = total + float(weight) * F.col(column)
         return 1 / (1 + F.exp(-total))
 
-    scored = _views(docs)
+    scored = vectors
     for view, model in models.items():
         scored = _scored(model, scored, view, f"odds_{view}")
     scores = scored.select(

@@ -134,3 +134,17 @@ def test_scores_of_awkward_rows(spark, tables):
     unlabelled = cotraining.quality_scores(awkward(spark), labels.limit(0))
     assert {r.score for r in unlabelled.collect()} == {0.5}
     assert cotraining.quality_scores(spark.createDataFrame([], SCHEMA), labels).count() == 0
+
+
+def test_all_confident_rows_of_any_number_are_taught(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, Vectors.dense([1.0 if i % 3 else -1.0]), Vectors.dense([float(i)])) for i in range(30_000)]
+    pool = spark.createDataFrame(rows, ["doc_id", "text_view", "page_view"])
+    train = spark.createDataFrame(
+        [(Vectors.dense([float(2 * (i % 2) - 1)]), float(i % 2), 1.0) for i in range(200)], ["text_view", "label", "weight"]
+    )
+    lesson = cotraining._lesson(pool, cotraining._fit(train, "text_view"), "text_view", "page_view")
+    assert lesson.count() == 30_000 and lesson.where("label = 1").count() == 20_000
+    weights = cotraining._weighed(lesson, train).groupBy("label").sum("weight").collect()
+    assert all(math.isclose(r["sum(weight)"], 100) for r in weights)
