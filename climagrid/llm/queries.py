@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import bpe, chat, cotraining, license_scan, line_dedup, minhash, neighbours, packing, quality, surrogates
+from climagrid.llm import (
+    bpe,
+    chat,
+    cotraining,
+    infilling,
+    license_scan,
+    line_dedup,
+    minhash,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    surrogates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,3 +199,47 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.quality_scores(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component of near fingerprints."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in the middle, and rebuilt from that."""
+    arranged = infilling.restore(infilling.fill_in_middle(_table(spark, sf_dir, "documents")))
+    return arranged.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+ORACLE["op13_fill_in_middle"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256(concat('1:', doc_id)) AS digest
+  FROM documents
+), draws AS (
+  SELECT *, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % (n + 1) AS c1,
+    CAST('0x' || substr(digest, 9, 8) AS BIGINT) % (n + 1) AS c2,
+    CAST('0x' || substr(digest, 17, 8) AS BIGINT) % 100 AS rest,
+    CAST('0x' || substr(digest, 25, 8) AS BIGINT) % 100 AS first
+  FROM drawn
+), formed AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR rest >= 90 THEN 'plain'
+      WHEN first < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws
+), cut AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1, n - b) AS s FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
