@@ -100,10 +100,18 @@ NAMED = {
 }
 
 
+#: Relations that several others read: computed once, also where they come from unnested documents.
+SHARED = {"trusted", "rows_both", "folded", "moments", "slopes", "net_rows", "scales", "gram"}
+
+
+def cte(name: str, body: str) -> str:
+    return f"{name} AS {'MATERIALIZED ' if name in SHARED else ''}({body})"
+
+
 def over(*names: str, select: str, **ctes: str) -> str:
     """``select`` behind the named relations above and further ones given by keyword."""
     parts = {name: NAMED[name] for name in names} | ctes
-    return "WITH " + ",\n".join(f"{n} AS ({body})" for n, body in parts.items()) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(cte(n, body) for n, body in parts.items()) + "\n" + select
 
 
 def on_obs(select: str, **ctes: str) -> str:
@@ -195,9 +203,12 @@ IN_TRAINING = """SUBSTR(MD5(CONCAT_WS('|', '42', city_name, CAST(location_id AS
 REGRESSION = {
     "rows_both": f"""SELECT {T} AS x, month AS m, {P} AS y, city_name, year, {IN_TRAINING} AS training
         FROM dated WHERE {T} IS NOT NULL AND {P} IS NOT NULL""",
-    "moments": """SELECT AVG(x) AS ax, AVG(m) AS am, AVG(y) AS ay, VAR_POP(x) AS vx,
-        VAR_POP(m) AS vm, COVAR_POP(x, m) AS xm, COVAR_POP(x, y) AS xy, COVAR_POP(m, y) AS my
-        FROM rows_both WHERE training""",
+    "folded": """SELECT x, m, COUNT(*) AS w, SUM(y) AS sy FROM rows_both WHERE training GROUP BY x, m""",
+    "moments": """SELECT ax, am, ay, SUM(w * (x - ax) * (x - ax)) AS vx, SUM(w * (m - am) * (m - am)) AS vm,
+        SUM(w * (x - ax) * (m - am)) AS xm, SUM((x - ax) * (sy - w * ay)) AS xy,
+        SUM((m - am) * (sy - w * ay)) AS my
+        FROM folded CROSS JOIN (SELECT SUM(w * x) / SUM(w) AS ax, SUM(w * m) / SUM(w) AS am,
+            SUM(sy) / SUM(w) AS ay FROM folded) GROUP BY ax, am, ay""",
     "slopes": """SELECT *, (xy * vm - my * xm) / (vx * vm - xm * xm) AS bx,
         (my * vx - xy * xm) / (vx * vm - xm * xm) AS bm FROM moments""",
     "predicted": """SELECT x AS temperature, y AS precipitation, city_name, m AS month, year,
@@ -205,6 +216,43 @@ REGRESSION = {
         FROM rows_both CROSS JOIN slopes WHERE NOT training""",
 }
 
+# Elastic net by coordinate descent on standardised features, from their products alone. Strength 0.1,
+# of which 0.8 on absolute values; the squares' part is relative to the label's deviation.
+NET = ("location_latitude", "location_longitude", "humidity_percent", P, "month", "phase")
+SWEEPS = 300
+
+
+def _net() -> dict[str, str]:
+    at = range(len(NET))
+    z = [f"COALESCE((x{i} - m{i}) / NULLIF(s{i}, 0), 0)" for i in at]
+    product = {(i, j): f"g{min(i, j)}{max(i, j)}" for i in at for j in at}
+
+    def step(i: int) -> str:
+        others = " - ".join(f"{product[i, j]} * {'n' if j < i else 'b'}{j}" for j in at if j != i)
+        pull = f"(c{i} - {others})"
+        return f"SIGN({pull}) * GREATEST(ABS({pull}) - 0.08, 0) / ({product[i, i]} + 0.02 / sy) AS n{i}"
+
+    columns = ", ".join(f"{name} AS x{i}" for i, name in enumerate(NET))
+    return {
+        "net_rows": f"""SELECT city_name, weather_date, {T} AS y, {columns}, {IN_TRAINING} AS training
+            FROM (SELECT *, (weather_date - DATE '1970-01-01') % 365 AS phase FROM dated)
+            WHERE {T} IS NOT NULL AND humidity_percent IS NOT NULL AND {P} IS NOT NULL""",
+        "scales": "SELECT AVG(y) AS my, STDDEV_POP(y) AS sy, "
+        + ", ".join(f"AVG(x{i}) AS m{i}, STDDEV_POP(x{i}) AS s{i}" for i in at)
+        + " FROM net_rows WHERE training",
+        "gram": "SELECT ANY_VALUE(sy) AS sy, "
+        + ", ".join(f"AVG({z[i]} * (y - my)) AS c{i}" for i in at)
+        + ", "
+        + ", ".join(f"GREATEST(AVG({z[i]} * {z[j]}), {'1e-9' if i == j else '-1'}) AS g{i}{j}" for i in at for j in at if i <= j)
+        + " FROM net_rows CROSS JOIN scales WHERE training",
+        "fit": f"SELECT 0 AS k, {', '.join(f'CAST(0 AS DOUBLE) AS b{i}' for i in at)} UNION ALL "
+        f"SELECT k + 1, {', '.join(step(i) for i in at)} FROM fit CROSS JOIN gram WHERE k < {SWEEPS}",
+        "net": "SELECT city_name, weather_date, y, my + "
+        + " + ".join(f"b{i} * {z[i]}" for i in at)
+        + f""" AS prediction FROM net_rows CROSS JOIN scales
+            CROSS JOIN (SELECT * FROM fit WHERE k = {SWEEPS}) WHERE NOT training""",
+    }
+
 
 def profile(columns: dict[str, str]) -> str:
     rows = []
@@ -418,6 +466,11 @@ ORACLE: dict[str, str] = {
         FROM predicted""",
         **REGRESSION,
     ),
+    "temperature_predictions": on_extended(
+        f"""SELECT city_name, weather_date, y AS {T}, {rnd('prediction')} AS prediction,
+        {rnd('y - prediction')} AS error FROM net""",
+        **_net(),
+    ),
     "grid_snap": over(
         "docs",
         "snapped",
@@ -487,10 +540,10 @@ ORACLE: dict[str, str] = {
 
 def on_trusted(sql: str) -> str:
     """A query over ``obs``, over the observations that the batch makes of the landed documents."""
-    landed = ",\n".join(f"{name} AS ({NAMED[name]})" for name in LANDED)
-    start = f"WITH obs AS ({NAMED['obs']})"
+    landed = ",\n".join(cte(name, NAMED[name]) for name in LANDED)
+    start = f"WITH RECURSIVE obs AS ({NAMED['obs']})"
     assert sql.startswith(start)
-    return f"WITH {landed},\nobs AS (SELECT * FROM trusted)" + sql.removeprefix(start)
+    return f"WITH RECURSIVE {landed},\nobs AS (SELECT * FROM trusted)" + sql.removeprefix(start)
 
 
 CLUSTERED = f"""SELECT city_name, country, avg_max_temp, total_precipitation, temp_variability,

@@ -301,7 +301,10 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def temperature_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = models.predict_temperature(retail.extended_observations(spark, sf_dir))
     return tr.with_error(fitted.predictions).select(
-        "city_name", "weather_date", "max_temp_c", "prediction", "error"
+        "city_name",
+        "weather_date",
+        "max_temp_c",
+        *[F.round(c, 2).alias(c) for c in ("prediction", "error")],
     )
 
 
@@ -340,7 +343,7 @@ def join_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_on_grid_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tr.snap_documents(retail.weather_documents(spark, sf_dir))
     locations = tr.prepare_locations(retail.location_rows(spark, sf_dir))
-    joined = joins.join_on_grid(docs, locations, broadcast_bytes=-1)
+    joined = joins.join_on_grid(docs, locations, broadcast_bytes=-1, key_rows=500)
     return quality.count_by(joined, "location_id", "city_name", "latitude", "longitude")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from climagrid.functions.stats import sample_deviation
+
 _WITH_NAN = ("double", "float")
 
 
@@ -45,7 +47,7 @@ def column_stats(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
         F.round(F.min(col), digits).alias("min_value"),
         F.round(F.max(col), digits).alias("max_value"),
         F.round(F.avg(col), digits).alias("avg_value"),
-        F.round(F.stddev(col), digits).alias("stddev_value"),
+        F.round(sample_deviation(col), digits).alias("stddev_value"),
     )
 
 

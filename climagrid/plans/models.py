@@ -10,11 +10,13 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.functions.dates import epoch_phase
+from climagrid.functions.stats import is_constant
 from climagrid.operators.ordering import sorted_by
 from climagrid.operators.transforms import drop_null, require_not_null, split
 from climagrid.sources.scratch import materialize
@@ -35,6 +37,7 @@ TEMPERATURE_FEATURES = (
     "month_num",
     "day_of_year",
 )
+NET_STRENGTH, NET_MIX = 0.1, 0.8
 SEED = 42
 TRAIN_FRACTION = 0.8
 MIN_REGRESSION_ROWS = 11
@@ -207,7 +210,8 @@ def predict_temperature(
     """Elastic net for temperature from place, humidity, rain and time of year.
 
     ``day_of_year`` is a phase (see ``epoch_phase``). None if a side of the split is empty.
-    Scaling and solving read the training rows a fixed number of times; nothing is cached.
+    Scaling and solving read the training rows a fixed number of times; nothing is cached. The solver
+    works on the features' products alone, so it runs until it gains nothing more.
     """
     rows = temperature_rows(obs)
     train, test = split(rows, *keys, frac=TRAIN_FRACTION, seed=SEED)
@@ -216,22 +220,60 @@ def predict_temperature(
     solver = LinearRegression(
         featuresCol="scaled_features",
         labelCol="max_temp_c",
-        regParam=0.1,
-        elasticNetParam=0.8,
+        regParam=NET_STRENGTH,
+        elasticNetParam=NET_MIX,
         solver="normal",
+        tol=1e-12,
+        maxIter=1000,
     )
     stages = [*_scaling(TEMPERATURE_FEATURES, "pred_features", "scaled_features"), solver]
     model = Pipeline(stages=stages).fit(train)
     return Regression(model, model.transform(test))
 
 
+def optimality_gap(fitted: Regression, train: DataFrame) -> DataFrame:
+    """How far the elastic net is from its optimum over ``train``: ``feature, coefficient, gradient, gap``.
+
+    Per standardised feature, the squared error's gradient must equal the penalty's slope at the
+    coefficient, or lie within the slopes that the penalty has at 0. ``gap`` is the distance, 0 at the
+    optimum, in the label's unit; the intercept's is the mean residual. One aggregate over the rows.
+    """
+    z, label, net = vector_to_array("scaled_features"), F.col("max_temp_c"), fitted.model.stages[-1]
+    rows = fitted.model.transform(train).withColumn("z", z).withColumn("residual", label - F.col("prediction"))
+    names = list(enumerate(TEMPERATURE_FEATURES))
+    sums = rows.agg(
+        F.avg("residual").alias("mean_residual"),
+        F.stddev_pop(label).alias("label_spread"),
+        *[F.stddev_pop(F.col("z")[i]).alias(f"spread_{i}") for i, _ in names],
+        *[F.covar_pop(F.col("z")[i], F.col("residual")).alias(f"pull_{i}") for i, _ in names],
+    )
+
+    def entry(i: int, name: str) -> Column:
+        own = F.lit(float(net.coefficients[i])) * F.col(f"spread_{i}")
+        gradient = F.coalesce(F.try_divide(F.col(f"pull_{i}"), F.col(f"spread_{i}")), F.lit(0.0))
+        slope = F.signum(own) * NET_STRENGTH * NET_MIX
+        slope += F.try_divide(own * NET_STRENGTH * (1 - NET_MIX), F.col("label_spread"))
+        at_zero = F.greatest(F.abs(gradient) - NET_STRENGTH * NET_MIX, F.lit(0.0))
+        gap = F.when(own == 0, at_zero).otherwise(F.abs(gradient - slope))
+        return F.struct(F.lit(name).alias("feature"), own.alias("coefficient"), gradient.alias("gradient"), gap.alias("gap"))
+
+    intercept = F.struct(
+        F.lit("intercept").alias("feature"),
+        F.lit(float(net.intercept)).alias("coefficient"),
+        F.col("mean_residual").alias("gradient"),
+        F.abs("mean_residual").alias("gap"),
+    )
+    return sums.select(F.inline(F.array(*[entry(i, n) for i, n in names], intercept)))
+
+
 def regression_metrics(
     pred: DataFrame, label: str = "precipitation", prediction: str = "prediction"
 ) -> DataFrame:
     """RMSE, MAE and R2 in one aggregate; R2 is NULL for a constant label."""
     error = F.col(label) - F.col(prediction)
+    explained = F.lit(1.0) - F.try_divide(F.avg(error * error), F.var_pop(label))
     return pred.agg(
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.avg(error * error), F.var_pop(label))).alias("r2"),
+        F.when(~is_constant(label), explained).alias("r2"),
     )

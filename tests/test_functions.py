@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from climagrid import functions as fn
 from climagrid.functions.labels import CLIMATE_BANDS, HUMIDITY_BANDS
+from climagrid.functions.stats import is_constant, sample_deviation
 
 
 def values(df, col):
@@ -119,3 +120,32 @@ def test_z_score_without_spread(spark):
 def test_functions_accept_columns(spark):
     df = spark.createDataFrame([(dt.date(2024, 2, 29),)], "d date")
     assert df.select(fn.day_of_year(F.col("d")).alias("n")).first().n == 60
+
+
+@pytest.mark.parametrize("parts", [2, 3, 7, 13, 40])
+@pytest.mark.parametrize("constant", [240.0, 240.1, 27.3])
+def test_a_constant_column_has_no_correlation_whatever_its_partitions(spark, parts, constant):
+    """Constant, and constant only where the other is present; beside it a real correlation."""
+    rows = spark.range(0, 1113, 1, parts).select(
+        (F.col("id") % 17).cast("double").alias("x"),
+        F.lit(constant).alias("c"),
+        F.when(F.col("id") % 17 != 3, constant).otherwise(1.0).alias("d"),
+        F.when(F.col("id") % 17 != 3, F.col("id") % 17).cast("double").alias("y"),
+    )
+    found = rows.agg(
+        *[fn.correlation(a, b).alias(a + b) for a, b in ("xc", "cx", "dy", "cc", "xy", "xd")]
+    ).first()
+    assert (found.xc, found.cx, found.dy, found.cc) == (None, None, None, None)
+    assert found.xy == pytest.approx(1.0) and found.xd is not None
+
+
+def test_constancy(spark):
+    nan = float("nan")
+    cases = {(1.0, 1.0, None): True, (1.0, 2.0): False, (None, None): None, (nan, nan): False, (1.0, nan): False}
+    for values_, expected in cases.items():
+        df = spark.createDataFrame([(v,) for v in values_], "x double")
+        assert df.agg(is_constant("x").alias("c")).first().c is expected
+    deviations = {(1.0, 1.0, None): 0.0, (1.0, None): None, (): None, (2, 2): 0.0}
+    for values_, expected in deviations.items():
+        df = spark.createDataFrame([(v,) for v in values_], "x double" if not values_ or isinstance(values_[0], float) else "x int")
+        assert df.agg(sample_deviation("x").alias("s")).first().s == expected

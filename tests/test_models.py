@@ -162,6 +162,21 @@ def test_elastic_net(year):
     y = np.array([r.max_temp_c for r in rows])
     assert net.coefficients.toArray() == pytest.approx(elastic_net(x, y, 0.1, 0.8), abs=1e-3)
     assert fitted.predictions.count() + len(rows) == complete.count()
+    gaps = {r.feature: r for r in models.optimality_gap(fitted, train).collect()}
+    assert set(gaps) == {*models.TEMPERATURE_FEATURES, "intercept"}
+    assert all(r.gap < 1e-4 for r in gaps.values())
+    assert {f for f, r in gaps.items() if r.coefficient == 0} and any(abs(r.coefficient) > 0.1 for r in gaps.values())
+    shifted = train.withColumn("max_temp_c", F.col("max_temp_c") + F.col("humidity_percent"))
+    assert max(r.gap for r in models.optimality_gap(fitted, shifted).collect()) > 0.1
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7, 40])
+def test_a_constant_label_has_no_r2(spark, parts):
+    pred = spark.range(0, 1113, 1, parts).select(
+        F.lit(27.3).alias("precipitation"), (F.col("id") % 5).cast("double").alias("prediction")
+    )
+    found = models.regression_metrics(pred).first()
+    assert found.r2 is None and found.rmse > 0
 
 
 def test_extended_datasets(year):
