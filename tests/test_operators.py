@@ -71,8 +71,8 @@ def test_two_locations_in_a_cell_both_get_its_weather(spark):
     )
 
 
-@pytest.mark.parametrize("broadcast_bytes", [joins.BROADCAST_BYTES, 0])
-def test_grid_join_with_a_heavy_cell(spark, broadcast_bytes):
+@pytest.mark.parametrize("broadcast_bytes,key_rows", [(joins.BROADCAST_BYTES, 200), (0, 200), (0, 5000)])
+def test_grid_join_with_a_heavy_cell(spark, broadcast_bytes, key_rows):
     weather = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0.125).otherwise(F.col("id") * 0.125).alias("latitude"),
         F.lit(0.0).alias("longitude"),
@@ -82,10 +82,28 @@ def test_grid_join_with_a_heavy_cell(spark, broadcast_bytes):
         (F.col("id") * 0.125).alias("location_latitude"),
         F.lit(-0.0).alias("location_longitude"),
     )
-    joined = joins.join_on_grid(weather, places, broadcast_bytes)
+    joined = joins.join_on_grid(weather, places, broadcast_bytes, key_rows)
     assert joined.count() == 3000
     assert joined.filter("location_id = 1").count() == 1001
-    assert "__salt" not in joined.columns
+    assert not [c for c in joined.columns if c.startswith("__")]
+
+
+def test_only_heavy_keys_are_copied(spark):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") < 1500, 7).when(F.col("id") < 1550, 8).otherwise(F.col("id")).alias("k"), "id"
+    )
+    found = {r["k"]: r["__parts"] for r in joins.heavy_keys(rows, ["k"], 100).collect()}
+    assert found == {7: 15}
+    lookup = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    lookup = lookup.withColumn("n", F.when(F.col("k") == 7, 1500).otherwise(1)).unionAll(
+        spark.createDataFrame([(7, 15, 1500), (None, 1, 1)], "k bigint, w bigint, n int")
+    )
+    expected = sorted((r.k, r.id, w) for r in rows.collect() for w in {r.k * 2} | ({15} if r.k == 7 else set()))
+    for weight in (None, "n"):
+        joined = joins.lookup_join(rows, lookup, ["k"], broadcast_bytes=0, key_rows=100, weight=weight)
+        assert sorted(map(tuple, joined.select("k", "id", "w").collect())) == expected
+        text = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("Generate") == 1  # lookup rows are copied, rows are not
 
 
 def test_copies_of_a_row_spread_over_the_salted_join(spark):
@@ -98,7 +116,7 @@ def test_copies_of_a_row_spread_over_the_salted_join(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = joins.lookup_join(rows, lookup, ["k"], broadcast_bytes=0)
+        joined = joins.lookup_join(rows, lookup, ["k"], broadcast_bytes=0, key_rows=500)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         for key in settings:
@@ -258,6 +276,23 @@ def test_anomalies_against_brute_force(make_obs, broadcast_bytes, shared):
     assert all(r.temp_z_score is None for r in got if r.city_name == "flat")
 
 
+@pytest.mark.parametrize("parts", [1, 2, 3, 7, 13, 40])
+def test_a_constant_city_has_no_anomaly_whatever_its_partitions(make_obs, parts):
+    rows = [
+        (str(dt.date(2019, 1, 1) + dt.timedelta(days=i)), city, value, value)
+        for city, value in (("a", 27.3), ("b", 240.1), ("c", 240.0), ("d", 0.1))
+        for i in range(1113)
+    ]
+    rows += [("2022-12-31", "e", 20.0 + (i % 5), 100.0 if i == 7 else 1.0) for i in range(60)]
+    obs = make_obs(rows).repartition(parts)
+    found = [r for s in (None, rollup(obs)) for r in an.anomalies(obs, source=s).collect()]
+    assert Counter(r.city_name for r in found) == {"e": 2}
+    stats = joins.group_stats(obs, ["city_name"], {"max_temp_c": "temp", "precipitation_mm": "rain"}).collect()
+    assert {r.city_name: (r.std_temp, r.std_rain) for r in stats if r.city_name != "e"} == {
+        c: (0.0, 0.0) for c in "abcd"
+    }
+
+
 def test_group_stats_join_is_not_a_shuffle_of_the_facts(spark, make_obs):
     obs = make_obs([("2022-01-01", "A", 1.0, 0.0), ("2022-01-02", "A", 2.0, 0.0)])
     joined = joins.with_group_stats(obs, ["city_name"], {"max_temp_c": "temp"})
@@ -284,6 +319,9 @@ def test_null_profile(spark):
 def test_quality_of_a_column(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (None,)], "x double")
     assert tuple(quality.column_stats(df, "x").first()) == (1.0, 4.0, 2.33, 1.53)
+    same = spark.range(0, 1113, 1, 7).select(F.lit(27.3).alias("x"))
+    assert quality.column_stats(same, "x", 30).first().stddev_value == 0.0
+    assert quality.column_stats(df.where("x = 4"), "x").first().stddev_value is None
     assert quality.distinct_count(df, "x").first()[0] == 4
     assert quality.distinct_count(df, "x", approximate=True).first()[0] == 3
     assert [r.x for r in quality.available_values(df, "x").collect()] == [None, 1.0, 2.0, 4.0]
