@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from climagrid.functions.labels import label_of
 from climagrid.operators.ordering import head
+from climagrid.sources.versions import POINTER, current_version
 from climagrid.sources.writers import CATEGORY_FOLDERS, dataset_path
 
 # The published datasets and their category.
@@ -37,24 +38,29 @@ DATASETS = {
 def list_datasets(spark: SparkSession, root: str) -> DataFrame:
     """Name, category and number of Parquet files of every dataset under ``root``.
 
-    Only paths are taken from the listing; no file is opened.
+    Files of the version that readers get, or files that lie flat in a dataset's folder. Only paths
+    are taken from the listing; no file is opened.
     """
     categories = {folder: category for category, folder in CATEGORY_FOLDERS.items()}
-    under = f"/({'|'.join(categories)})/([^/]+)/"
-    files = (
+    under = f"/({'|'.join(categories)})/([^/]+)/(?:(version-[^/.]+)({POINTER})?)?"
+    entries = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", f"*{{.parquet,{POINTER}}}")
         .load(root)
-        .select(
-            F.regexp_extract("path", under, 1).alias("folder"),
-            F.regexp_extract("path", under, 2).alias("name"),
-        )
+        .select(*[F.regexp_extract("path", under, i + 1).alias(c) for i, c in enumerate(("folder", "name", "version", "end"))])
         .filter(F.col("folder") != "")
     )
+    # A dataset's entries are its part files and a few versions: one small group each.
+    versions = entries.groupBy("folder", "name", "version").agg(
+        F.count_if(F.col("end") == "").alias("file_count"), F.max("end").alias("end")
+    )
+    shown = (F.col("end") != "") | (F.col("version") == "")
+    newest = F.max_by("file_count", F.when(shown, F.col("version")))
     return (
-        files.groupBy("name", label_of("folder", categories, "").alias("category"))
-        .agg(F.count(F.lit(1)).alias("file_count"))
+        versions.groupBy("name", label_of("folder", categories, "").alias("category"))
+        .agg(newest.alias("file_count"))
+        .where(F.col("file_count") > 0)
         .orderBy("category", "name")
     )
 
@@ -65,7 +71,7 @@ def get_dataset(
     """A dataset by name, at most ``limit`` rows (0 for all): the first by ``order``, if given.
 
     Looked for under the descriptive, then the ML category, then the root itself; all part
-    files are read.
+    files of its current version are read, or files that lie flat in its folder.
     """
     if not name:
         raise ValueError(f"no dataset named; available: {sorted(DATASETS)}")
@@ -73,7 +79,7 @@ def get_dataset(
     places.append(f"{root.rstrip('/')}/{name}")
     for place in places:
         try:
-            return head(spark.read.parquet(place), limit, *order)
+            return head(spark.read.parquet(current_version(spark, place) or place), limit, *order)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

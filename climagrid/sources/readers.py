@@ -21,9 +21,8 @@ def read_weather_json(
     landed by ``write_raw_json`` hold one per line: pass ``False`` there, so that Spark can
     split large files.
     """
-    return (
-        spark.read.schema(WEATHER_DOCUMENT).option("multiLine", multi_line).json(path)
-    )
+    docs = spark.read.schema(WEATHER_DOCUMENT).option("multiLine", multi_line).json(path)
+    return docs.drop("slot")  # of a landed root's folders
 
 
 def split_valid_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

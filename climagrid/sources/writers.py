@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.functions.dates import parse_date
 from climagrid.operators.ordering import sorted_rows
 from climagrid.sources.schemas import LOCATION_COLUMNS
 from climagrid.sources.scratch import materialize
+from climagrid.sources.versions import publish
 
 # Folder of each dataset category.
 CATEGORY_FOLDERS = {
@@ -18,23 +19,29 @@ CATEGORY_FOLDERS = {
 }
 EXPORT_FORMATS = ("json", "csv")
 
+#: Folders of landed documents in a year.
+SLOTS = 16
+
 
 def write_raw_json(docs: DataFrame, root: str, by_city: bool = False) -> None:
-    """Land documents as JSON lines under ``year=``, sorted by their ``city`` column.
-
-    The year is that of the first day. Documents of a landed city and year replace what the root
-    holds of them; other cities and years stay. Rebalancing gathers a year's documents into few
-    files, and adaptive execution splits a heavy year over several tasks. ``by_city`` makes a folder
-    per city inside each year instead, so that only the landed ones are touched; keep it for few
-    cities, since the number of folders is cities times years. Without it, a year's folder is
-    rewritten with the documents of its other cities.
+    """Land documents as JSON lines under ``year=`` and ``slot=``, sorted by their ``city`` column.
+
+    The year is that of the first day; a city's slot is one of ``SLOTS`` that its name hashes to.
+    Documents of a landed city and year replace what the root holds of them; other cities and years
+    stay. Only folders of landed slots are written anew, with the documents of their other cities, so a
+    late city costs a share of its year. Rebalancing gathers a folder's documents into few files, and
+    adaptive execution splits a heavy one over several tasks. ``by_city`` makes a folder per city inside
+    each year instead, so that only the landed ones are touched; keep it for few cities, since the
+    number of folders is cities times years.
+
+    Folders are replaced when all is written, so the root may be read by the same job.
     """
-    folders = ["year", "city"] if by_city else ["year"]
+    folders = ["year", "city" if by_city else "slot"]
     landed = docs.withColumn(
         "year", F.year(parse_date(F.try_element_at("daily.time", F.lit(1))))
     ).withColumn("city", F.replace(F.lower("city"), F.lit(" "), F.lit("_")))
     if not by_city:
-        landed = _with_other_cities(landed, root)
+        landed = _with_other_cities(landed.withColumn("slot", city_slot("city")), root)
     (
         landed.hint("rebalance", *folders)
         .sortWithinPartitions("year", "city")
@@ -45,21 +52,32 @@ def write_raw_json(docs: DataFrame, root: str, by_city: bool = False) -> None:
     )
 
 
+def city_slot(city: str) -> Column:
+    """The slot of a city's documents; a missing name has one too."""
+    return F.pmod(F.xxhash64(city), F.lit(SLOTS)).cast("int")
+
+
 def _with_other_cities(landed: DataFrame, root: str) -> DataFrame:
-    """The landed documents and those of other cities in the same years that the root holds."""
+    """The landed documents and those of other cities in the same folders that the root holds.
+
+    Landed cities and years are found in a first pass that reads no measurements, and kept: years times
+    slots are few, so their folders are named to the scan.
+    """
     try:
         held = landed.sparkSession.read.schema(landed.schema).json(root)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return landed
-    landed = materialize(landed, "landed-documents")
-    keys = landed.select(F.col("year").alias("__year"), F.col("city").alias("__city")).distinct()
-    same_year = F.col("year").eqNullSafe(F.col("__year"))
-    in_years = held.join(keys.select("__year").distinct(), same_year, "left_semi")
-    others = in_years.join(keys, same_year & F.col("city").eqNullSafe(F.col("__city")), "left_anti")
-    # Written first, since the files read here are the ones that the landing replaces.
-    return materialize(landed.unionByName(others), "landed-years")
+    keys = landed.select(
+        F.col("year").alias("__year"), F.col("slot").alias("__slot"), F.col("city").alias("__city")
+    )
+    keys = materialize(keys.distinct(), "landed-cities")
+    folder = lambda year, slot: F.concat_ws("/", F.coalesce(year, F.lit(-1)), slot)
+    folders = keys.select(folder(F.col("__year"), F.col("__slot"))).distinct().collect()
+    touched = held.where(folder(F.col("year"), F.col("slot")).isin([r[0] for r in folders]))
+    same = F.col("year").eqNullSafe(F.col("__year")) & F.col("city").eqNullSafe(F.col("__city"))
+    return landed.unionByName(touched.join(keys, same, "left_anti"))
 
 
 def write_locations_csv(locations: DataFrame, path: str) -> None:
@@ -91,14 +109,29 @@ def write_observations(obs: DataFrame, path: str, ordered: bool = False) -> None
 def load_table(df: DataFrame, name: str, path: str | None = None) -> int:
     """Replace a catalog table by ``df`` and return its row count.
 
+    The rows go to a fresh folder first; only then is the table pointed there, so that a load that
+    fails, at whatever row, leaves the table as it was. With the columns of before that is one change
+    of the catalog; with others the table is dropped and made anew. The files lie under ``path``, by
+    default beside the warehouse's tables, in versions (see ``sources.versions``). A table that keeps
+    its files elsewhere is taken over, and its old files go with its own drop.
+
     The count reads only Parquet footers of the new table, not ``df`` a second time.
-    ``path`` places the table's files outside the warehouse folder.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name).count()
+    spark = df.sparkSession
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/versions_of_{name.replace('.', '/')}"
+
+    def point(place: str) -> None:
+        schema = spark.read.parquet(place).schema
+        if spark.catalog.tableExists(name):
+            if spark.table(name).schema == schema and spark.catalog.getTable(name).tableType == "EXTERNAL":
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+                spark.catalog.refreshTable(name)
+                return
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=place, source="parquet", schema=schema)
+
+    publish(spark, base, df.write.parquet, point)
+    return spark.table(name).count()
 
 
 def dataset_path(root: str, category: str, name: str) -> str:
@@ -107,10 +140,11 @@ def dataset_path(root: str, category: str, name: str) -> str:
 
 
 def save_dataset(df: DataFrame, root: str, category: str, name: str) -> str:
-    """Overwrite a named dataset under its category and return its folder."""
-    path = dataset_path(root, category, name)
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Replace a named dataset under its category and return the folder of its new version.
+
+    Readers have the old version until the new one is complete, also if writing fails.
+    """
+    return publish(df.sparkSession, dataset_path(root, category, name), df.write.parquet)
 
 
 def export_dataset(df: DataFrame, path: str, fmt: str = "json") -> None:

@@ -72,6 +72,7 @@ def test_landed_documents_read_back(spark, raw, tmp_path, by_city):
     io.write_raw_json(valid.withColumn("city", F.lit("San Juan")), root, by_city=by_city)
     assert (tmp_path / "landed" / "year=2022").is_dir()
     assert (tmp_path / "landed" / "year=2022" / "city=san_juan").is_dir() == by_city
+    assert any((tmp_path / "landed" / "year=2022").glob("slot=*")) != by_city
     back = io.read_weather_json(spark, root, multi_line=False)
     assert Counter(map(str, back.select(*valid.columns).collect())) == Counter(
         map(str, valid.collect())
@@ -96,6 +97,25 @@ def test_landing_keeps_other_years_and_cities(spark, raw, tmp_path, by_city):
     assert found == [(2021, "a", 1.0), (2022, "a", 4.0), (2022, "b", 3.0)]
 
 
+def test_a_late_city_rewrites_its_slot_alone(spark, raw, tmp_path):
+    valid, _ = io.split_valid_documents(io.read_weather_json(spark, raw[0]))
+    cities = F.explode(F.array(*[F.lit(f"Town {i}") for i in range(60)]))
+    landed, root = valid.limit(1).withColumn("city", cities), tmp_path / "landed"
+    io.write_raw_json(landed, str(root))
+    slots = lambda: {p.name: sorted(f.name for f in p.iterdir()) for p in (root / "year=2022").glob("slot=*")}
+    before = slots()
+    late = landed.where("city = 'Town 7'").withColumn("elevation", F.lit(-1.0))
+    io.write_raw_json(late.unionAll(late), str(root))
+    changed = [name for name, files in slots().items() if before[name] != files]
+    assert len(before) > 10 and len(changed) == 1
+    back = spark.read.json(str(root)).select("city", "elevation").collect()
+    assert Counter(r.city for r in back) == Counter({f"town_{i}": 1 for i in range(60)} | {"town_7": 2})
+    assert {r.elevation for r in back if r.city == "town_7"} == {-1.0}
+    # A landing may read the root that it lands in.
+    io.write_raw_json(spark.read.json(str(root)).drop("year", "slot").withColumn("elevation", F.lit(5.0)), str(root))
+    assert {r.elevation for r in spark.read.json(str(root)).collect()} == {5.0}
+
+
 def test_locations_csv(spark, raw, tmp_path):
     locations = io.read_locations_csv(spark, raw[1])
     path = str(tmp_path / "locations")
@@ -207,6 +227,77 @@ def test_load_table_replaces(spark, several_years, tmp_path):
     spark.sql("DROP TABLE weather_obs")
 
 
+def failing(df, column="max_temp_c"):
+    """Rows that raise half-way."""
+    broken = F.when(F.col("weather_date") == "2021-06-01", F.raise_error(F.lit("half-way"))).otherwise(F.col(column))
+    return df.withColumn(column, broken).repartition(8, "weather_date")
+
+
+@pytest.mark.parametrize("placed", [False, True])
+def test_a_failed_load_leaves_the_table(spark, several_years, tmp_path, placed):
+    name, path = f"kept_{placed}".lower(), str(tmp_path / "table") if placed else None
+    assert io.load_table(several_years, name, path) == 1601
+    with pytest.raises(Exception, match="half-way"):
+        io.load_table(failing(several_years), name, path)
+    assert rows(io.read_table(spark, name)) == rows(several_years)
+    reading = io.read_table(spark, name)  # begun before the next load, ended after it
+    other = several_years.filter("city_name = 'B'")
+    assert io.load_table(other, name, path) == 800
+    assert rows(reading) == rows(several_years)
+    assert rows(io.read_table(spark, name)) == rows(other)
+    assert io.load_table(other.withColumn("more", F.lit(1)), name, path) == 800  # other columns
+    assert io.read_table(spark, name).columns[-1] == "more"
+    if placed:
+        assert len(list((tmp_path / "table").glob("version-*.current"))) == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_load_takes_over_a_table_of_others(spark, several_years):
+    several_years.limit(5).write.saveAsTable("taken_over")
+    with pytest.raises(Exception, match="half-way"):
+        io.load_table(failing(several_years), "taken_over")
+    assert io.read_table(spark, "taken_over").count() == 5
+    assert io.load_table(several_years, "taken_over") == 1601
+    spark.sql("DROP TABLE taken_over")
+
+
+def test_a_failed_dataset_leaves_the_published_one(spark, several_years, tmp_path):
+    root = str(tmp_path / "refined")
+    place = tmp_path / "refined" / "ml_analytics_results" / "anomalies"
+    save = lambda df: io.save_dataset(df, root, "ml_analytics", "anomalies")
+    get = lambda: rows(catalog.get_dataset(spark, root, "anomalies", 0))
+    listed = lambda: [tuple(r) for r in catalog.list_datasets(spark, root).collect()]
+    with pytest.raises(Exception, match="half-way"):
+        save(failing(several_years))
+    with pytest.raises(ValueError, match="no data"):
+        catalog.get_dataset(spark, root, "anomalies")
+    several_years.limit(7).coalesce(1).write.parquet(str(place), mode="append")  # flat files, as others write
+    assert catalog.get_dataset(spark, root, "anomalies", 0).count() == 7
+    assert listed() == [("anomalies", "ml_analytics", 1)]
+    save(several_years.repartition(3))
+    reading = catalog.get_dataset(spark, root, "anomalies", 0)
+    with pytest.raises(Exception, match="half-way"):
+        save(failing(several_years))
+    assert get() == rows(several_years)
+    save(several_years.filter("city_name = 'B'").repartition(2))
+    assert rows(reading) == rows(several_years)  # its version stays for one more
+    assert listed() == [("anomalies", "ml_analytics", 2)]
+    save(several_years.repartition(4))
+    assert get() == rows(several_years) and listed() == [("anomalies", "ml_analytics", 4)]
+    versions = sorted(p.name for p in place.iterdir() if not p.name.startswith("."))
+    assert len(versions) == 4 and sum(v.endswith(".current") for v in versions) == 2
+
+
+def test_an_unfinished_version_is_not_read(spark, several_years, tmp_path):
+    """As left by a job that was killed: a folder without its pointer."""
+    root = str(tmp_path / "refined")
+    path = io.save_dataset(several_years.limit(3), root, "ml_analytics", "anomalies")
+    unfinished = path.rsplit("/", 1)[0] + "/version-" + "9" * 20 + "-x"
+    several_years.write.parquet(unfinished)
+    assert catalog.get_dataset(spark, root, "anomalies", 0).count() == 3
+    assert [r.file_count for r in catalog.list_datasets(spark, root).collect()] == [1]
+
+
 def test_export(spark, several_years, tmp_path):
     report = reports.precipitation_patterns(several_years)
     io.export_dataset(report, str(tmp_path / "j"))
