@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from climagrid.llm import chisquare
 from climagrid.llm.shipping import with_modules
+from climagrid.operators.joins import lookup_join
 from climagrid.sources.scratch import materialize
 
 #: Dimensions of the projection, drawn from the normal distribution, which is 2-stable.
 PROJECTED = 8
 #: Probability with which a point as near as the last found neighbour has been verified at the end.
 CONFIDENCE = 0.99
-#: Rows of a block, which is one task's kd-tree; queries that meet a block at a time.
+#: Rows of a block, which is one task's kd-tree; queries that meet a block in one task.
 BLOCK, QUERIES = 8192, 4096
 #: Bounds of the sample that places the cells, and of their number. Every row is indexed.
 SAMPLE, CELLS = 16_384, 4096
@@ -25,6 +26,7 @@ LEAF = 256
 
 _QUANTILE = chisquare.quantile(CONFIDENCE, PROJECTED)
 _PLACED = "vec_id bigint, vec binary, dim int, cell int"
+_KEYS = ["dim", "cell", "sub"]
 _FOUND = "query_id bigint, vec_id bigint, d2 double"
 
 #: Per dimension of the vectors: split axes and values of the inner nodes, and the cells' boxes.
@@ -174,11 +176,25 @@ def _place(base: DataFrame, cells: Cells) -> DataFrame:
     return base.mapInPandas(place, _PLACED)
 
 
-def _visit(rows: DataFrame, queries: DataFrame, slices: int, k: int) -> DataFrame:
+def _dealt(rows: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and queries of the blocks that are asked at all, with the ``slice`` they meet in.
+
+    Queries are counted by block. Only a block that more than ``QUERIES`` of them ask comes in several
+    slices, each with its share of the queries, so rows are copied as their own block is asked.
+    """
+    asks = queries.groupBy(*_KEYS).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("slices"))
+    asks = materialize(asks, "asked-blocks")
+    copies = lookup_join(rows, asks, _KEYS)
+    copies = copies.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    asked = lookup_join(queries, asks, _KEYS)
+    asked = asked.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.col("slices")).cast("int"))
+    return copies.drop("slices"), asked.drop("slices")
+
+
+def _visit(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Queries (with ``cell, sub, bound``) answered by the blocks of rows that they name."""
-    keys = ["dim", "cell", "sub", "slice"]
-    copies = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    asked = queries.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int"))
+    keys = [*_KEYS, "slice"]
+    copies, asked = _dealt(rows, queries)
 
     def answer(block: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -276,9 +292,8 @@ def nearest(
         F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), "dim", "cell", "sub"
     )
     queries = materialize(queries, "queries")
-    slices = max(1, -(-queries.count() // QUERIES))
     unbounded = queries.withColumn("bound", F.lit(float("inf")))
-    first = materialize(_visit(rows, unbounded, slices, k), "first-answers")
+    first = materialize(_visit(rows, unbounded, k), "first-answers")
 
     last = first.groupBy("query_id").agg(F.max("d2").alias("last"), F.count("*").alias("n"))
     bound = F.when(F.col("n") >= k, F.col("last")).otherwise(float("inf"))
@@ -290,7 +305,8 @@ def nearest(
     routed = _routes(bounded, cells).join(F.broadcast(subs), ["dim", "cell"])
     routed = routed.withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
     routed = routed.where((F.col("cell") != F.col("home")) | (F.col("sub") != F.col("home_sub")))
-    second = _visit(rows, routed.select("query_id", "query", "dim", "cell", "sub", "bound"), slices, k)
+    routed = materialize(routed.select("query_id", "query", *_KEYS, "bound"), "routes")
+    second = _visit(rows, routed, k)
 
     found = first.union(second).groupBy("query_id", "vec_id").agg(F.min("d2").alias("d2"))
     order = Window.partitionBy("query_id").orderBy("d2", "vec_id")

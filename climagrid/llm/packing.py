@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import UnitTable, text_slices
+from climagrid.llm.units import UnitTable, ids_of_units, text_slices
 
 WINDOW = 1024
 #: Remainders packed together by one task: at most so many windows of ids are held in memory.
@@ -40,9 +40,14 @@ def _unit_table(path: str) -> UnitTable:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
+        def ids(units: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+        line = ids(["\n"])[0][0]
+
         def encode(units: list[str]) -> Iterator[bytes]:
-            for found in tokenizer.encode_batch_fast(units, add_special_tokens=False):
-                yield np.asarray(found.ids, dtype="<u4").tobytes()
+            for found in ids_of_units(units, ids, line):
+                yield np.array(found, "<u4").tobytes()
 
         _tables[path] = UnitTable(encode)
     return _tables[path]

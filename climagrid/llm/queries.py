@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climagrid.llm import (
+    alignment,
     bpe,
     chat,
     cotraining,
@@ -201,6 +202,19 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's aligned tokens, and how common its linked id pairs are."""
+    documents, postings = alignment.align(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    hashed = documents.withColumn("groups_sha256", digest).drop("groups")
+    return alignment.with_scores(hashed, postings)
+
+
 @query
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component of near fingerprints."""

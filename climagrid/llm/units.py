@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 
 #: The characters with Unicode's White_Space property (fixed values).
@@ -24,6 +25,8 @@ _UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]++|[{WHITE_SPACE}]++")
 TABLE_ENTRIES = 400_000
 #: Longer units are encoded each time and not kept.
 KEPT_CHARS = 64
+#: Units joined into one text to be encoded.
+JOINED = 64
 
 
 #: ASCII punctuation after a letter begins a token of its own, so a unit may be cut before it.
@@ -37,22 +40,17 @@ class UnitTable:
         self._encode = encode
         self._known: dict[str, bytes] = {}
 
-    def pack(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The packed ids of each text, in order."""
-        for text in texts:
-            units = _UNIT.findall(text)
-            missing = set(units).difference(self._known)
-            if not missing:
-                yield b"".join(map(self._known.__getitem__, units))
-                continue
-            if len(self._known) > TABLE_ENTRIES:
-                self._known.clear()
-                missing = set(units)
-            extra = self._learn(missing)
-            if extra:
-                yield b"".join([extra[u] if u in extra else self._known[u] for u in units])
-            else:
-                yield b"".join(map(self._known.__getitem__, units))
+    def pack(self, texts: list[str]) -> Iterator[bytes]:
+        """The packed ids of each text, in order; what is new in any of them is encoded at once."""
+        cut = [_UNIT.findall(text) for text in texts]
+        if len(self._known) > TABLE_ENTRIES:
+            self._known.clear()
+        long = self._learn(set().union(*cut).difference(self._known))
+        self._known.update(long)
+        for units in cut:
+            yield b"".join(map(self._known.__getitem__, units))
+        for unit in long:
+            del self._known[unit]
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
         """Puts the units into the table; returns those that are too long for it."""
@@ -68,6 +66,34 @@ class UnitTable:
         return extra
 
 
+def ids_of_units(units: list[str], encode: Callable[[list[str]], list], sizes: np.ndarray) -> list:
+    """``encode(units)`` at the cost of fewer calls; ``sizes`` are the bytes that each id stands for.
+
+    Units of a space and a word are joined into longer texts, and their ids cut where the units' bytes
+    end. Where no token ends there, the tokenizer does not cut before spaces, and the units are encoded
+    one by one.
+    """
+    words = [i for i, u in enumerate(units) if u[:1] == " " and u[1:].split() == [u[1:]]]
+    single = set(range(len(units))).difference(words)
+    found: list = [None] * len(units)
+    chunks = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+    for chosen, ids in zip(chunks, encode(["".join([units[i] for i in c]) for c in chunks]), strict=True):
+        wanted = np.cumsum([len(units[i].encode()) for i in chosen])
+        ends = np.cumsum(sizes[ids])
+        cuts = np.searchsorted(ends, wanted)
+        if ends[-1] != wanted[-1] or (ends[cuts] != wanted).any():
+            single.update(chosen)
+            continue
+        begin = 0
+        for i, end in zip(chosen, (cuts + 1).tolist(), strict=True):
+            found[i] = ids[begin:end]
+            begin = end
+    rest = sorted(single)
+    for i, ids in zip(rest, encode([units[i] for i in rest]), strict=True):
+        found[i] = ids
+    return found
+
+
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``chars`` bytes of text, so that long texts do not pile up."""
     lengths = batch.column(column).fill_null("")
