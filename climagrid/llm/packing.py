@@ -43,10 +43,11 @@ def _unit_table(path: str) -> UnitTable:
         def ids(units: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
-        line = ids(["\n"])[0][0]
+        # Entries of a byte-level vocabulary have a character for each byte.
+        sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
 
         def encode(units: list[str]) -> Iterator[bytes]:
-            for found in ids_of_units(units, ids, line):
+            for found in ids_of_units(units, ids, sizes):
                 yield np.array(found, "<u4").tobytes()
 
         _tables[path] = UnitTable(encode)

@@ -58,7 +58,8 @@ _FORMS = sorted({b for names in ADDRESS.values() for a in names for b in (a, a.u
 _ADDRESS = "(?:" + "|".join(_FORMS) + ")"
 _WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]++)*+"
 _INITIALS = r"(?:\p{Lu}\. ?){0,3}"
-_NAME = rf"{_INITIALS}{_WORD}(?: (?:{_PARTICLE} ){{0,2}}{_INITIALS}{_WORD}){{0,3}}"
+_PART = rf"(?:{_PARTICLE} ){{0,2}}{_INITIALS}{_WORD}"
+_NAME = f"{_PART}(?: {_PART}){{0,3}}"
 
 _PHONES = [
     r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}",
@@ -93,7 +94,7 @@ ANY = f"{_ALONE}|{TITLED}"
 _WITH_WORDS = rf"{_ALONE}|(?<![\p{{L}}\p{{N}}]){_WORD}(?![\p{{L}}])"
 #: What any text with a mention holds: the other patterns are tried on such texts alone.
 _GATE = (
-    rf"[0-9@=:]|(?=[{''.join(sorted({a[0] for a in _FORMS}))}])(?<![\p{{L}}]){_ADDRESS}\.? \p{{Lu}}"
+    rf"[0-9@=:]|(?=[{''.join(sorted({a[0] for a in _FORMS}))}])(?<![\p{{L}}]){_ADDRESS}\.? (?:{_PARTICLE} |\p{{Lu}})"
 )
 
 #: Blocks of keyed hash for each draw: two hexadecimal digits a character.
