@@ -16,7 +16,7 @@ BROADCAST_BYTES = 32 << 20
 #: Rows of one key that a task may get; keys with more are dealt to as many tasks as that takes.
 KEY_ROWS = 1 << 20
 #: Keys that are dealt out at most: those with the most rows. The others hold a smaller share each.
-HEAVY_KEYS = 1024
+HEAVY_KEYS = 1 << 16
 
 _ROW_BYTES, _FIELD_BYTES = 32, 16
 

@@ -32,7 +32,18 @@ MEASURES = (
 )
 
 # Measures whose absence reports filter on, and that have a spread.
-PRESENCE_FLAGS = {"max_temp_c": "has_temp", "precipitation_mm": "has_rain"}
+PRESENCE_FLAGS = {
+    "max_temp_c": "has_temp",
+    "precipitation_mm": "has_rain",
+    "elevation": "has_elevation",
+}
+
+# Pairs of them that vary together: the centred sum of products is a part too.
+PAIRS = (
+    ("max_temp_c", "precipitation_mm"),
+    ("max_temp_c", "elevation"),
+    ("precipitation_mm", "elevation"),
+)
 
 _MARK = "n_rows"
 
@@ -55,14 +66,19 @@ def rollup(
     """Partial aggregates per group of ``keys``.
 
     ``keys`` may name columns of ``obs`` or the calendar fields ``year`` and ``month``. With
-    ``presence`` the groups are also told apart by whether temperature and rain are there,
-    so that reports with different NULL filters can share one rollup.
+    ``presence`` the groups are also told apart by whether temperature, rain and elevation are
+    there, so that reports with different NULL filters can share one rollup.
     """
-    flags = {flag: F.col(column).isNotNull() for column, flag in PRESENCE_FLAGS.items()}
     measures = [c for c in MEASURES if c in obs.columns]
+    flags = {f: F.col(column).isNotNull() for column, f in PRESENCE_FLAGS.items() if column in measures}
     dated = with_calendar(obs) if {"year", "month"} & set(keys) else obs
     grouped = dated.withColumns(flags).groupBy(*keys, *(flags if presence else ()))
     parts = [part for c in measures for part in _measure_parts(c, spread=c in PRESENCE_FLAGS)]
+    parts += [
+        (F.covar_pop(x, y) * F.count_if(F.col(x).isNotNull() & F.col(y).isNotNull())).alias(f"{x}__with__{y}")
+        for x, y in PAIRS
+        if x in measures and y in measures
+    ]
     rain_days = [
         F.count_if(F.col("precipitation_mm") > bound).alias(f"{name}_days")
         for name, bound in RAIN_DAY_BOUNDS.items()
@@ -78,7 +94,7 @@ def is_rollup(source: DataFrame) -> bool:
 def rolled(source: DataFrame, keys: Sequence[str], need: Sequence[str] = ()) -> DataFrame:
     """Partials for a report: from observations at grain ``keys``, or from a rollup as is.
 
-    ``need`` names the measures (temperature, rain) that must be present in a row.
+    ``need`` names the measures (of ``PRESENCE_FLAGS``) that must be present in a row.
     """
     if is_rollup(source):
         for column in need:
@@ -141,27 +157,48 @@ def with_origins(source: DataFrame) -> DataFrame:
     return source.withColumns(origins)
 
 
-def exact_deviation(column: str) -> Column:
-    """Sample standard deviation, not rounded; NULL below two values, 0 for equal values.
+def _products(x: str, y: str, within: str) -> Column:
+    """Sum of products of ``x`` and ``y``, both centred at their means, over rows that have both.
 
-    Squares within the parts plus squares between their means. The means are taken from the parts'
-    common origin, so that large values with a small spread do not cancel; where the parts of a
+    Products ``within`` the parts plus products between their means. The means are taken from the
+    parts' common origin, so that large values with a small spread do not cancel; where the parts of a
     group have different origins, their spread is itself large and plain sums will do.
     """
-    n, s, origin = F.col(f"{column}__n"), F.col(f"{column}__sum"), F.col(f"{column}__origin")
-    shift = F.try_divide(s, n) - origin
+    n, sums = F.col(f"{x}__n"), [F.col(f"{c}__sum") for c in (x, y)]
+    origins = [F.col(f"{c}__origin") for c in (x, y)]
+    dx, dy = (F.try_divide(s, n) - origin for s, origin in zip(sums, origins, strict=True))
     count = F.sum(n)
-    near = F.sum(n * shift * shift) - F.try_divide(F.sum(n * shift) * F.sum(n * shift), count)
-    far = F.sum(F.try_divide(s * s, n)) - F.try_divide(F.sum(s) * F.sum(s), count)
-    between = F.when(F.min(origin) == F.max(origin), near).otherwise(far)
-    squares = F.greatest(F.sum(f"{column}__m2") + F.coalesce(between, F.lit(0.0)), F.lit(0.0))
-    constant = F.min(f"{column}__min") == F.max(f"{column}__max")
-    spread = F.when(constant, F.lit(0.0)).otherwise(
-        F.sqrt(F.try_divide(squares, count - F.lit(1)))
+    near = F.sum(n * dx * dy) - F.try_divide(F.sum(n * dx) * F.sum(n * dy), count)
+    far = F.sum(F.try_divide(sums[0] * sums[1], n)) - F.try_divide(F.sum(sums[0]) * F.sum(sums[1]), count)
+    same = (F.min(origins[0]) == F.max(origins[0])) & (F.min(origins[1]) == F.max(origins[1]))
+    return F.sum(within) + F.coalesce(F.when(same, near).otherwise(far), F.lit(0.0))
+
+
+def _squares(column: str) -> Column:
+    return F.greatest(_products(column, column, f"{column}__m2"), F.lit(0.0))
+
+
+def _constant(column: str) -> Column:
+    return F.min(f"{column}__min") == F.max(f"{column}__max")
+
+
+def exact_deviation(column: str) -> Column:
+    """Sample standard deviation, not rounded; NULL below two values, 0 for equal values."""
+    count = F.sum(f"{column}__n")
+    spread = F.when(_constant(column), F.lit(0.0)).otherwise(
+        F.sqrt(F.try_divide(_squares(column), count - F.lit(1)))
     )
     return F.when(count > 1, spread)
 
 
+def exact_correlation(x: str, y: str) -> Column:
+    """Pearson r, not rounded, of two measures of ``PAIRS`` in parts that have both throughout
+    (see ``rolled``); NULL if either is constant."""
+    together = _products(x, y, f"{x}__with__{y}")
+    r = F.try_divide(together, F.sqrt(_squares(x) * _squares(y)))
+    return F.when(~_constant(x) & ~_constant(y), r)
+
+
 def deviation(column: str, digits: int = 2) -> Column:
     """Sample standard deviation."""
     return F.round(exact_deviation(column), digits)

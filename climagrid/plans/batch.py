@@ -48,14 +48,14 @@ def trusted_observations(docs: DataFrame, locations: DataFrame) -> DataFrame:
 def refined_datasets(obs: DataFrame) -> dict[str, DataFrame | None]:
     """All published datasets; None where there is too little data for a model.
 
-    One rollup, kept in the shared folder, feeds every report but the correlations and also
-    the anomaly statistics, so the observations are scanned once for them all.
+    One rollup, kept in the shared folder, feeds every report and also the anomaly statistics, so
+    the observations are scanned once for them all.
     """
     monthly = materialize(rollup(obs), "monthly-rollup")
     regression = regress_precipitation(obs)
     clusters = cluster_cities(reports.city_features(monthly))
     return {
-        "correlations": reports.correlations(obs),
+        "correlations": reports.correlations(monthly),
         "monthly_analysis": reports.monthly_analysis(monthly),
         "seasonal_analysis": reports.seasonal_analysis(monthly),
         "extreme_cities": reports.extreme_cities(monthly),

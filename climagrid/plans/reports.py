@@ -1,6 +1,6 @@
 """Descriptive reports.
 
-Each takes observations, or (but for the correlations) the result of ``rollup``. Column names
+Each takes observations, or (but for the correlations with humidity) the result of ``rollup``. Column names
 and labels are those of the published datasets.
 """
 
@@ -222,22 +222,27 @@ def city_features(source: DataFrame, geo: bool = False, min_rows: int = 30) -> D
 
 
 def correlations(
-    obs: DataFrame,
+    source: DataFrame,
     pairs: Mapping[str, tuple[str, str]] = CORRELATION_PAIRS,
     min_rows: int = 30,
 ) -> DataFrame:
     """Pairwise correlations, means and rainy share per city with enough rows.
 
-    Needs observations: a constant column must be seen as exactly constant, which merged
-    partials cannot promise.
+    A constant column has none, in whatever parts its rows were aggregated.
     """
-    means = {
-        "avg_temperature": F.round(F.avg(TEMP), 2),
-        "avg_precipitation": F.round(F.avg(RAIN), 2),
-        "avg_elevation": F.round(F.avg("elevation"), 0),
-        "total_records": F.count(F.lit(1)),
+    need = [TEMP, RAIN, "elevation"]
+    measures = {name: F.round(r.exact_correlation(x, y), 3) for name, (x, y) in pairs.items()}
+    measures |= {
+        "rainy_days_ratio": r.rain_share(),
+        "avg_temperature": r.mean(TEMP),
+        "avg_precipitation": r.mean(RAIN),
+        "avg_elevation": r.mean("elevation", 0),
+        "total_records": r.rows(),
     }
-    return _correlations(obs, (TEMP, RAIN, "elevation"), pairs, means, min_rows)
+    cities = rolled(source, PLACE, need).groupBy(*PLACE).agg(*_named(measures))
+    return sorted_by(
+        cities.filter(F.col("total_records") >= min_rows), F.desc(next(iter(pairs))), *PLACE
+    )
 
 
 def humidity_correlations(
@@ -245,25 +250,18 @@ def humidity_correlations(
     pairs: Mapping[str, tuple[str, str]] = HUMIDITY_PAIRS,
     min_rows: int = 50,
 ) -> DataFrame:
-    """Correlations of temperature with humidity and rain per city with enough rows."""
-    return _correlations(obs, (TEMP, HUMIDITY), pairs, {}, min_rows)
-
+    """Correlations of temperature with humidity and rain per city with enough rows.
 
-def _correlations(
-    obs: DataFrame,
-    need: Sequence[str],
-    pairs: Mapping[str, tuple[str, str]],
-    means: Mapping[str, Column],
-    min_rows: int,
-) -> DataFrame:
+    Each over the rows that have both, rain or not: from observations, in one aggregate.
+    """
     measures = {name: F.round(correlation(x, y), 3) for name, (x, y) in pairs.items()}
     measures["rainy_days_ratio"] = F.round(
         F.count_if(F.col(RAIN) > 0) / F.count(F.lit(1)), 3
     )
     cities = (
-        require_not_null(obs, need)
+        require_not_null(obs, (TEMP, HUMIDITY))
         .groupBy(*PLACE)
-        .agg(*_named({**measures, **means}), F.count(F.lit(1)).alias("__rows"))
+        .agg(*_named(measures), F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") >= min_rows)
         .drop("__rows")
     )

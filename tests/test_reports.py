@@ -17,6 +17,7 @@ FROM_ROLLUP = {
     "cities_comparison": reports.cities_comparison,
     "temporal_patterns": reports.temporal_patterns,
     "city_features": reports.city_features,
+    "correlations": reports.correlations,
 }
 
 
@@ -108,6 +109,39 @@ def test_constant_elevation_has_no_correlation(make_obs):
     assert reports.correlations(make_obs(rows[:30])).count() == 1
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_correlations_from_a_rollup(make_obs, parts):
+    """Over months, presence groups and partitions: as from the rows, and as numpy has it."""
+    rng = np.random.default_rng(4)
+    rows, expected = [], {}
+    for city, base in (("a", 20.0), ("b", 1e6), ("flat", 240.1)):
+        kept = []
+        for i in range(400):
+            day = f"20{19 + i % 3}-{i % 12 + 1:02d}-{i % 28 + 1:02d}"
+            temp = base if city == "flat" else base + round(float(rng.normal()), 2)
+            rain = None if i % 9 == 0 else round(max(0.0, (temp - base) + float(rng.normal())), 1)
+            height = None if i % 13 == 0 else 100.0 + i % 4
+            rows.append((day, city, None if i % 17 == 0 else temp, rain, "Colombia", height))
+            if i % 9 and i % 13 and i % 17:
+                kept.append((temp, rain, height))
+        expected[city] = np.array(kept)
+    rows += [("2020-01-01", "few", 1.0, 1.0, "Colombia", 1.0)] * 29
+    obs = make_obs(rows).repartition(parts)
+    for source in (obs, rollup(obs), rollup(obs, ("city_name", "country"))):
+        found = {r.city_name: r for r in reports.correlations(source).collect()}
+        assert set(found) == {"a", "b", "flat"}
+        for city, values in expected.items():
+            r, n = found[city], len(values)
+            pairs = ((0, 1, r.temp_precipitation_corr), (0, 2, r.temp_elevation_corr), (1, 2, r.precip_elevation_corr))
+            for i, j, got in pairs:
+                if city == "flat" and i == 0:
+                    assert got is None
+                else:
+                    assert got == pytest.approx(np.corrcoef(values[:, i], values[:, j])[0, 1], abs=0.0006)
+            assert r.total_records == n and r.avg_elevation == round(values[:, 2].mean())
+            assert r.rainy_days_ratio == pytest.approx((values[:, 1] > 0).mean(), abs=0.0006)
+
+
 def test_undated_rows_fall_to_the_last_season(mixed):
     seasons = {
         r.epoca for r in reports.seasonal_analysis(mixed).collect() if r.city_name == "undated"
