@@ -60,12 +60,13 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, row_group: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts the lineage, so that neither a second use nor a lost executor costs another scan
-    of the facts.
+    of the facts. ``row_group`` bounds the bytes that a task's writer holds, for wide rows.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if row_group is None else df.write.option("parquet.block.size", row_group)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
