@@ -115,7 +115,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     Each match of ``pattern`` is encoded separately and whole texts are encoded, without special
     tokens. A null or empty text has no ids. Rows stay one to one, also with null or repeated
-    ``doc_id``; other columns are ignored; an empty table gives no rows.
+    ``doc_id``; other columns are ignored; an empty table gives no rows. A task holds about 4 MB of
+    texts, or one longer text, with their ids.
     """
     kind = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 

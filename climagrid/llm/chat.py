@@ -125,7 +125,8 @@ def format_conversations(
     The turns stream through the task, sorted by Spark, which spills. A template is given the whole
     conversation so far, so that it is seen whenever it rewrites; the task holds one conversation. Only
     for a template with a true attribute ``append_only`` a task holds ``history`` turns: beyond that
-    the last ones serve as history, if the template writes them alike from there.
+    the last ones serve as history, if the template writes them alike from there. What such a template
+    rewrites among the turns before those goes unseen: it is for templates that keep their promise.
 
     Null roles and texts are empty, null turns sort first, null ``conv_id`` rows are one
     conversation. Other columns are ignored. An empty table gives no rows.

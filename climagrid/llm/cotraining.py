@@ -28,7 +28,8 @@ def _share(count: Column, total: Column) -> Column:
 
 
 def _views(docs: DataFrame) -> DataFrame:
-    """``doc_id`` with the vectors ``text_view`` and ``page_view``, row by row, in built-ins only.
+    """``doc_id`` with the vectors ``text_view`` and ``page_view``, and a key of each that rows of equal
+    vectors share, row by row, in built-ins only.
 
     The text view has hashed words and rates of the whole text; the page view has source, language,
     and the text's size and number of lines, but nothing of what it says.
@@ -69,8 +70,9 @@ def _views(docs: DataFrame) -> DataFrame:
         inputCols=["source", "lang", "p_size", "p_lines", "p_source_lang"],
         outputCol="page_view", numFeatures=PAGE_BUCKETS,
     )
-    return page_view.transform(text_view.transform(hashed.transform(rows))).select(
-        "doc_id", "text_view", "page_view"
+    keys = {"text_view_key": F.xxhash64("text"), "page_view_key": F.xxhash64("source", "lang", "p_size", "p_lines")}
+    return page_view.transform(text_view.transform(hashed.transform(rows.withColumns(keys)))).select(
+        "doc_id", "text_view", "page_view", *keys
     )
 
 
@@ -99,7 +101,16 @@ def _lesson(pool: DataFrame, model: LogisticRegressionModel, teacher: str, view:
     least, odds = F.lit(CONFIDENT / (1 - CONFIDENT)), F.col("odds")
     label = F.when(F.exp(odds) >= least, 1.0).when(F.exp(-odds) >= least, 0.0)
     judged = _scored(model, pool, teacher, "odds").withColumn("label", label)
-    return judged.where("label IS NOT NULL").select(view, "label")
+    return judged.where("label IS NOT NULL").select(view, "label", *[c for c in (f"{view}_key",) if c in pool.columns])
+
+
+def _folded(lesson: DataFrame, view: str) -> DataFrame:
+    """Rows of one vector and label as one row that weighs as much: the same fit over fewer rows.
+
+    Pages have few different vectors, texts as many as there are different texts.
+    """
+    folded = lesson.groupBy(f"{view}_key", "label").agg(F.first(view).alias(view), F.sum("weight").alias("weight"))
+    return folded.select(view, "label", "weight")
 
 
 def _weighed(lesson: DataFrame, train: DataFrame) -> DataFrame:
@@ -119,17 +130,19 @@ def quality_scores(
 
     A classifier of the text's content and one of the page's metadata are fitted on labelled rows.
     In each round both score all unlabelled rows, and every row that one view is sure of becomes a label
-    for the other; a class of them weighs at most as much as among the labelled rows. At the end each view's log-odds are calibrated on held-out
-    labelled rows (a logistic regression of its own), and another over both combines them.
+    for the other; a class of them weighs at most as much as among the labelled rows, and rows of equal
+    vectors are folded into one that weighs as much. At the end each view's log-odds are calibrated on
+    held-out labelled rows (a logistic regression of its own), and another over both combines them; on
+    the fitted rows where the held-out ones lack a class.
 
     The fits use at most ``LABELLED`` labelled rows, chosen by hash of the id, and all unlabelled ones.
-    Scores cover all rows and whole texts. Rows whose label is null are unlabelled. If
-    labelled documents of one class, or any, are missing, every score is the share of class 1 among
-    them (0.5 without any).
+    Scores cover all rows and whole texts. Rows whose label is null are unlabelled. If labelled documents
+    of one class, or any, are missing, every score is the share of class 1 among them (0.5 without any).
 
     Null texts are empty; null ids are scored but never used for fitting; repeated ids each give a
-    row. Null or missing ``source`` and ``lang`` are values like others. Other columns are ignored; an
-    empty table gives no rows.
+    row, and where such an id is labelled, its row of the smallest hash is fitted on. Null or missing
+    ``source`` and ``lang`` are values like others. Other columns are ignored; an empty table gives no
+    rows. A task holds a row at a time, a very long text with the list of its words.
     """
     known = labels.where(f"doc_id IS NOT NULL AND {target} IS NOT NULL")
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(
@@ -138,7 +151,10 @@ def quality_scores(
     chosen = materialize(_first(known.withColumnRenamed("label_id", "doc_id"), LABELLED), "labelled-ids")
     # The vectors of all rows are kept once, for every round and for the scores at the end.
     vectors = materialize(_views(docs), "vectors")
-    picked = vectors.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    picked = vectors.join(F.broadcast(chosen), "doc_id")
+    named = [c for c in picked.columns if c != "doc_id"]
+    first = F.min_by(F.struct(*named), F.struct("text_view_key", "page_view_key"))
+    picked = picked.groupBy("doc_id").agg(first.alias("row")).select("doc_id", "row.*")
     labelled = materialize(picked.withColumn("weight", F.lit(1.0)).coalesce(8), "sample")
     sums = labelled.agg(F.count("*"), F.sum("label")).first()
     if not sums[0] or sums[1] in (0, sums[0]):
@@ -157,9 +173,10 @@ def quality_scores(
         lessons = {}
         for view, teacher in (("text_view", "page_view"), ("page_view", "text_view")):
             lesson = materialize(_lesson(pool, models[teacher], teacher, view), "lesson")
+            taught = materialize(_folded(_weighed(lesson, train), view), "folded-lesson")
             # A row taught before is not added again: each round's lesson replaces the last one.
             own = train.select(view, "label", "weight")
-            lessons[view] = own.unionByName(_weighed(lesson, train))
+            lessons[view] = own.unionByName(taught)
         models = {view: _fit(rows, view) for view, rows in lessons.items()}
 
     odds = ["odds_text_view", "odds_page_view"]

@@ -58,6 +58,97 @@ NOTICES = [
     ),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("cc", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    (
+        "mit",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+    ),
+    (
+        "mit",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT.",
+    ),
+    (
+        "apache",
+        "Unless required by applicable law or agreed to in writing, software distributed under the "
+        "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+        "either express or implied.",
+    ),
+    (
+        "apache",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a "
+        "perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license "
+        "to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, "
+        "and distribute the Work and such Derivative Works in Source or Object form.",
+    ),
+    (
+        "gpl",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU General Public License for more details.",
+    ),
+    (
+        "gpl",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+    ),
+    (
+        "bsd",
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.",
+    ),
+    (
+        "bsd",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution.",
+    ),
+    (
+        "bsd",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    (
+        "bsd",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS "
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ),
+    (
+        "isc",
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "mpl",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
+    ),
+    (
+        "zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    ),
+    (
+        "boost",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy "
+        "of the software and accompanying documentation covered by this license",
+    ),
+    (
+        "epl",
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License",
+    ),
+    (
+        "cc",
+        "You are free to share, copy and redistribute the material in any medium or format, and adapt, "
+        "remix, transform, and build upon the material for any purpose, even commercially.",
+    ),
 ]
 
 PHRASE_WORDS, NOTICE_WORDS = 2, 4
@@ -143,7 +234,8 @@ def scan_licenses(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES) ->
     ``score`` is the largest share of a notice or phrase that a counted place holds, else 0. Only
     votes and one row per document are shuffled. A null or empty text has no words; without places
     the positions are null, the labels empty. Rows with null or repeated ``doc_id`` each give a row;
-    other columns are ignored; an empty table gives no rows.
+    other columns are ignored; an empty table gives no rows. A very long text is one row with the list of
+    its words.
     """
     found = votes(docs, notices).withColumn("diagonal", F.col("pos") - F.col("at"))
     document = ["row", "doc_id", "n_words"]

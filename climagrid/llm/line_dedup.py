@@ -74,7 +74,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
     A null or empty text is one empty line and comes back empty. Rows with a null ``doc_id`` neither
     count nor lose lines. Rows that share a ``doc_id`` are one document for the counts and each lose
-    the positions that any of them loses. An empty table gives no rows.
+    the positions that any of them loses. An empty table gives no rows. A very long text is one row with
+    the list of its lines; its lines travel as hashes.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     gone = dropped_lines(docs, min_chars, min_docs).select(

@@ -113,7 +113,7 @@ def _postings(classes: DataFrame, whole: bool = False) -> DataFrame:
     values = classes.select("node", "n", F.explode("sketch").alias("v"))
     counts = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     counts = materialize(counts, "value-counts")
-    shared = lookup_join(values, counts, ["v"], BROADCAST_BYTES).groupBy("node", "n")
+    shared = lookup_join(values, counts, ["v"], BROADCAST_BYTES, weight="df").groupBy("node", "n")
     lists = shared.agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("found"))
     weight = F.size("found")
     least = F.ceil(F.col("n") * PERCENT / 100) if whole else _least_shared(F.col("n"))
@@ -233,6 +233,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, list_size: int = LIST)
     Fewer words than ``words`` make one shingle. Rows with a null ``doc_id`` take part, but only others
     name a component: it is null if there are none. Rows that repeat a ``doc_id`` are compared each by
     its own text. Columns other than ``doc_id`` and ``text`` are ignored. An empty table gives no rows.
+    A task holds about 4 MB of texts, or one longer text with its words; the whole set of a document that
+    may have partners, 8 bytes a shingle, is one row.
     """
     source = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),

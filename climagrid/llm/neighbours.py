@@ -260,7 +260,8 @@ def nearest(
     Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
     null ids. Vectors of different lengths are never compared. Rows that share a ``vec_id`` are one
     point with several places: it is listed once, at its least distance. Other columns are ignored;
-    an empty table gives no rows.
+    an empty table gives no rows. Only blocks that are asked travel, in as many copies as ``QUERIES`` of
+    their own queries take.
     """
     vector = F.col("embedding").cast("array<double>")
     chosen = with_modules(table).select(F.col("vec_id").cast("bigint"), vector.alias("v"))

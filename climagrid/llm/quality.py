@@ -38,8 +38,9 @@ CONFIDENCE = 1 - 1e-4
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MORE = ("n_lines", "n_upper", "n_echoes")
 
-#: Components of the vector and the least deviation that each is credited with. Most texts have no
-#: symbols or repeats at all, so without it the estimated covariances would be singular.
+#: Components of the vector and the least deviation that each is credited with: measured in these, no
+#: direction has a variance below 1. Most texts have no symbols or repeats at all, so without a bound the
+#: estimated covariances would be singular; where a group's own spread is larger, that alone counts.
 FLOORS = {
     "x_words": 0.5,
     "x_length": 0.08,
@@ -173,7 +174,8 @@ def _distance() -> Column:
 
 def _estimates(moments: DataFrame, factor: float) -> DataFrame:
     """Means and whitening matrices from ``grp, start, n``, sums ``s*`` and sums of products ``p*``."""
-    floors = np.diag(np.square(list(FLOORS.values())))
+    floors = np.array(list(FLOORS.values()))
+    unit = np.outer(floors, floors)
 
     def run(frames):
         import pandas as pd
@@ -185,8 +187,8 @@ def _estimates(moments: DataFrame, factor: float) -> DataFrame:
                 spread = np.zeros((_DIMS, _DIMS))
                 for i, j in _PAIRS:
                     spread[i, j] = spread[j, i] = row[f"p{i}_{j}"] / row["n"] - mean[i] * mean[j]
-                values, axes = np.linalg.eigh(spread * factor)
-                spread = (axes * np.maximum(values, 0)) @ axes.T + floors
+                values, axes = np.linalg.eigh(spread * factor / unit)
+                spread = (axes * np.maximum(values, 1)) @ axes.T * unit
                 white = np.linalg.inv(np.linalg.cholesky(spread))
                 rows.append([row["grp"], row["start"], *mean, *[white[i, j] for i, j in _PAIRS]])
             yield pd.DataFrame(rows, columns=_ESTIMATE)
@@ -225,7 +227,7 @@ def minimum_covariance(rows: DataFrame, steps: int = STEPS, support: float = SUP
     takes their mean and covariance, which never raises the determinant; all rows of all groups take
     part in every step, as partial aggregates. The estimate of the smallest determinant is taken, the
     first start's unless another is ``CLEARLY`` smaller. The covariance is scaled to be consistent for
-    normal data and raised by ``FLOORS``.
+    normal data and bounded from below by ``FLOORS``.
     """
     middle = [F.percentile_approx(n, [0.25, 0.5, 0.75], 10000).alias(n) for n in _NAMES]
     quartiles = rows.groupBy("grp").agg(*middle)
@@ -302,17 +304,19 @@ def _scaled(measured: DataFrame) -> DataFrame:
 def quality_verdicts(
     docs: DataFrame, min_group: int = MIN_GROUP, confidence: float = CONFIDENCE
 ) -> DataFrame:
-    """Per document its statistics, ``base_failed``, the squared distance ``d2`` and ``kept``.
+    """Per document its statistics, ``base_failed``, squared distances ``d2, judged_d2`` and ``kept``.
 
     Rows that fail the base rules are rejected and have no distance. For the others, a minimum
     covariance determinant is estimated per language and source over all rows; languages' small
     sources are pooled, and so are small languages. ``d2`` is the distance under it. The verdict is by
-    the estimate reweighted over all rows not far from it: a group whose median distance exceeds that
-    of normal data is judged on that scale, and rows beyond the ``confidence`` quantile are rejected.
+    ``judged_d2``, that under the estimate reweighted over all rows not far from it: a group whose median
+    distance exceeds that of normal data is judged on that scale, and rows beyond the ``confidence``
+    quantile are rejected.
 
     Null ``lang`` and ``source``, or missing columns, are labels like any other. A null or empty text
     has no words and fails. Each row counts, also with a null or repeated ``doc_id``; other columns
-    are ignored. An empty table gives no rows.
+    are ignored. An empty table gives no rows. A task holds about 4 MB of texts, or one longer text with
+    its words.
     """
     rows = materialize(_vector(statistics(docs)), "statistics")
     passed = rows.where(~F.col("base_failed"))
@@ -324,11 +328,10 @@ def quality_verdicts(
     names = [c for c in judged.columns if c != "d2"]
     judged = lookup_join(judged.withColumnRenamed("d2", "raw_d2"), _reweighted(grouped, estimate), ["grp"])
     judged = judged.withColumn("d2", _distance()).select(*names, "raw_d2", "d2")
-    limit = chisquare.quantile(confidence, _DIMS) * F.col("scale")
-    judged = _scaled(judged).withColumn("kept", F.col("d2") <= limit).drop("d2")
+    judged = _scaled(judged).withColumn("judged_d2", F.col("d2") / F.col("scale")).drop("d2")
     judged = judged.withColumnRenamed("raw_d2", "d2")
-    failed = rows.where("base_failed").withColumns(
-        {"d2": F.lit(None).cast("double"), "kept": F.lit(False)}
-    )
-    names = ["doc_id", *STATISTICS, "base_failed", "d2", "kept"]
+    judged = judged.withColumn("kept", F.col("judged_d2") <= chisquare.quantile(confidence, _DIMS))
+    none = F.lit(None).cast("double")
+    failed = rows.where("base_failed").withColumns({"d2": none, "judged_d2": none, "kept": F.lit(False)})
+    names = ["doc_id", *STATISTICS, "base_failed", "d2", "judged_d2", "kept"]
     return judged.select(*names).union(failed.select(*names))

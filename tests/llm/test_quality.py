@@ -40,31 +40,67 @@ def test_chi_square():
     assert chisquare.cdf(1e5, 8) == 1.0 and chisquare.cdf(0, 3) == 0.0
 
 
-def _minimum_covariance(points, support=quality.SUPPORT, steps=quality.STEPS):
-    """The same estimate in plain numpy, with exact quantiles by the same bins."""
+def _bounded(near, factor):
+    """Mean, whitening matrix and log-determinant, no direction below 1 in units of the floors."""
     floors = np.array(list(quality.FLOORS.values()))
-    count, dims = points.shape
-    ordered = np.sort(points, axis=0)
-    low, mean, high = (ordered[max(0, math.ceil(p * count) - 1)] for p in (0.25, 0.5, 0.75))
-    white = np.diag(1 / np.maximum((high - low) / 1.349, floors))
-    factor = support / chisquare.cdf(chisquare.quantile(support, dims), dims + 2)
-    for _ in range(steps):
-        d2 = np.square((points - mean) @ white.T).sum(axis=1)
-        bins = np.floor(16 * np.log2(d2 + 1e-6))
-        edge = np.sort(bins)[math.ceil(support * count) - 1]
-        near = points[bins <= edge]
-        mean = near.mean(axis=0)
-        spread = np.cov(near.T, bias=True) * factor + np.diag(floors**2)
-        white = np.linalg.inv(np.linalg.cholesky(spread))
+    values, axes = np.linalg.eigh(np.cov(near.T, bias=True) * factor / np.outer(floors, floors))
+    spread = (axes * np.maximum(values, 1)) @ axes.T * np.outer(floors, floors)
+    white = np.linalg.inv(np.linalg.cholesky(spread))
+    return near.mean(axis=0), white, np.linalg.slogdet(spread)[1]
+
+
+def _squared(points, mean, white):
     return np.square((points - mean) @ white.T).sum(axis=1)
 
 
-def test_distances_equal_a_plain_estimate(spark):
+def _edge(d2, share):
+    """The bin up to which there is this share of the rows, by the same bins."""
+    return np.sort(np.floor(16 * np.log2(d2 + 1e-6)))[math.ceil(share * len(d2)) - 1]
+
+
+def _consistent(share):
+    return share / chisquare.cdf(chisquare.quantile(share, 7), 9)
+
+
+def _verdict(points):
+    """Both distances and the verdict of one group, in plain numpy."""
+    floors, count = np.array(list(quality.FLOORS.values())), len(points)
+    at = lambda values, p: np.sort(values, axis=0)[max(0, math.ceil(p * count) - 1)]
+    middle = at(points, 0.5)
+    ranges = (at(points, 0.75) - at(points, 0.25)) / 1.349
+    deviations = at(np.abs(points - middle), 0.5) / 0.6745
+    found = []
+    for start, spread in enumerate((ranges, deviations)):
+        mean, white = middle, np.diag(1 / np.maximum(spread, floors))
+        for _ in range(quality.STEPS):
+            d2 = _squared(points, mean, white)
+            near = points[np.floor(16 * np.log2(d2 + 1e-6)) <= _edge(d2, quality.SUPPORT)]
+            mean, white, size = _bounded(near, _consistent(quality.SUPPORT))
+        found.append((size - (0 if start else quality.CLEARLY), start, mean, white))
+    d2 = _squared(points, *min(found, key=lambda f: f[:2])[2:])
+    scale = lambda d: max(2 ** ((_edge(d, 0.5) + 1) / 16) / chisquare.quantile(0.5, 7), 1)
+    near = points[d2 <= chisquare.quantile(quality.REWEIGHTED, 7) * scale(d2)]
+    again = _squared(points, *_bounded(near, _consistent(quality.REWEIGHTED))[:2])
+    return d2, again / scale(again)
+
+
+@pytest.mark.parametrize("min_group", [quality.MIN_GROUP, 10**9])
+def test_verdicts_equal_a_plain_estimate(spark, min_group):
+    """Both distances and ``kept``, per group and with all rows in one."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    found = quality.quality_verdicts(docs, min_group=10**9).toPandas().set_index("doc_id")
-    rows = quality._vector(quality.statistics(docs)).where("NOT base_failed").toPandas()
-    expected = _minimum_covariance(rows[list(quality.FLOORS)].to_numpy())
-    assert np.allclose(found.d2[rows.doc_id].to_numpy(), expected, rtol=1e-6)
+    found = quality.quality_verdicts(docs, min_group=min_group).toPandas().set_index("doc_id")
+    passed = quality._vector(quality.statistics(docs)).where("NOT base_failed")
+    groups = quality._groups(passed, min_group)
+    rows = passed.join(groups, ["lang", "source"]).toPandas()
+    limit, seen = chisquare.quantile(quality.CONFIDENCE, 7), 0
+    for _, own in rows.groupby("grp"):
+        d2, judged = _verdict(own[list(quality.FLOORS)].to_numpy())
+        mine = found.loc[own.doc_id]
+        assert np.allclose(mine.d2, d2, rtol=1e-6) and np.allclose(mine.judged_d2, judged, rtol=1e-6)
+        sure = np.abs(judged - limit) > 1e-3
+        assert (mine.kept.to_numpy()[sure] == (judged <= limit)[sure]).all()
+        seen += len(own)
+    assert seen == len(rows) == (~found.base_failed).sum() and not found.kept[found.base_failed].any()
 
 
 def test_a_third_of_junk_copies_does_not_become_the_norm(spark):

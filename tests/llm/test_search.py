@@ -114,6 +114,52 @@ def test_places_of_awkward_texts(spark):
     assert license_scan.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def _votes(text, notices=license_scan.NOTICES):
+    """Labels and score by comparing every k-gram of the text with every one of a notice."""
+    words, k, found, score = license_scan.words_of(text or ""), license_scan.NOTICE_WORDS, set(), 0.0
+    for phrase, label in license_scan.PHRASES.items():
+        parts = phrase.split()
+        if any(words[i : i + len(parts)] == parts for i in range(len(words))):
+            found, score = found | {label}, 1.0
+    for label, notice in notices:
+        own = license_scan.words_of(notice)
+        grams = [own[i : i + k] for i in range(len(own) - k + 1)]
+        votes = [(i - at, at, i) for i in range(len(words) - k + 1) for at, g in enumerate(grams) if words[i : i + k] == g]
+        places, last = [], None
+        for diagonal, at, i in sorted(votes):
+            if last is None or diagonal - last > license_scan.NEIGHBOURS:
+                places.append(([], []))
+            last = diagonal
+            places[-1][0].append(at)
+            places[-1][1].append(i)
+        for held, at in places:
+            share, span = len(set(held)) / len(grams), max(at) + k - min(at)
+            if share >= license_scan.COVERAGE and span <= license_scan.STRETCH * len(own):
+                found, score = found | {label}, max(score, share)
+    return ",".join(sorted(found)), score
+
+
+def test_votes_equal_brute_force(spark):
+    """Whole notices, edited, cut, mixed and repeated ones, by comparing all k-grams."""
+    import random
+
+    draw, texts = random.Random(8), []
+    notices = [n for _, n in license_scan.NOTICES]
+    for notice in notices:
+        words = notice.split()
+        texts += [notice, notice.upper(), " ".join(words[: len(words) // 2]), " ".join(words[len(words) // 4 :])]
+        for share in (0.05, 0.1, 0.2):
+            texts.append(" ".join(w if draw.random() > share else "changed" for w in words))
+            texts.append(" ".join(x for w in words for x in ([w] if draw.random() > share else [w, "added"])))
+        texts.append("word " * 30 + notice + " word" * 30 + " " + draw.choice(notices))
+    docs = awkward(spark, AWKWARD + [(100 + i, t, "en", "a") for i, t in enumerate(texts)])
+    expected = sorted((i, *_votes(t)) for i, t, _, _ in AWKWARD + [(100 + i, t, "", "") for i, t in enumerate(texts)] if i is not None)
+    found = license_scan.scan_licenses(docs).where("doc_id IS NOT NULL").select("doc_id", "labels", "score")
+    assert sorted(map(tuple, found.collect())) == expected
+    whole = {100 + 11 * i: label for i, (label, _) in enumerate(license_scan.NOTICES)}
+    assert all(label in labels.split(",") for i, labels, _ in expected if (label := whole.get(i)))
+
+
 PERSONAL = [
     (50, "Mr. John Smith, MR. JOHN SMITH and Mrs. Anna Berg; г-жа Мария Иванова", "en", "a"),
     (51, "call +1 (743) 555-3824 or (743) 555-3824 or 743-555-3824, not (743) 555-3825", "en", "a"),
