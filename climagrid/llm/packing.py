@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import UnitTable, ids_of_units, text_slices
+from climagrid.llm.units import ByteLevel, UnitTable, packed, text_slices
 
 WINDOW = 1024
 #: Remainders packed together by one task: at most so many windows of ids are held in memory.
@@ -34,23 +33,8 @@ _tables: dict[str, UnitTable] = {}
 def _unit_table(path: str) -> UnitTable:
     """One table for each Python worker: tasks of the worker share it."""
     if path not in _tables:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-
-        def ids(units: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-
-        # Entries of a byte-level vocabulary have a character for each byte.
-        sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-
-        def encode(units: list[str]) -> Iterator[bytes]:
-            for found in ids_of_units(units, ids, sizes):
-                yield np.array(found, "<u4").tobytes()
-
-        _tables[path] = UnitTable(encode)
+        vocabulary = ByteLevel(path)
+        _tables[path] = UnitTable(lambda units: vocabulary.ids(units, packed))
     return _tables[path]
 
 
@@ -161,7 +145,8 @@ def pack_documents(
 
     A null or empty text is one piece of the end id. Each row is a document of its own, also with a
     null or repeated ``doc_id``. Columns other than ``doc_id`` and ``text`` are ignored. An empty
-    table gives no rows.
+    table gives no rows. A task holds about 4 MB of texts, or one longer text with all its ids, and the
+    ids of the remainders of one block.
     """
     chosen = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return with_modules(chosen).mapInArrow(

@@ -8,8 +8,11 @@ and natural words repeat, so each unit is encoded once and then looked up.
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +24,26 @@ WHITE_SPACE = (
 )
 _UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]++|[{WHITE_SPACE}]++")
 
-#: Entries kept by a worker's lookup table before it starts anew: bounds memory, not results.
-TABLE_ENTRIES = 400_000
+#: Entries of a worker's lookup table; when it is full, a new one takes over what is still used of it.
+#: Bounds memory, not results.
+TABLE_ENTRIES = 250_000
 #: Longer units are encoded each time and not kept.
 KEPT_CHARS = 64
 #: Units joined into one text to be encoded.
 JOINED = 64
 
 
-#: ASCII punctuation after a letter begins a token of its own, so a unit may be cut before it.
-_TAIL = re.compile(r"(.*[A-Za-z])([!-/:-@\[-`{-~]+)", re.DOTALL)
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_SPACE_AND_WORD = re.compile(r" \S++")
+
+
+def _cut_tail(unit: str) -> tuple[str, str] | None:
+    """The unit before and from its trailing ASCII punctuation: after a letter that begins a token of its
+    own, so the unit may be cut there."""
+    if unit[-1] not in _PUNCTUATION:
+        return None
+    core = unit.rstrip(_PUNCTUATION)
+    return (core, unit[len(core) :]) if core and core[-1].isalpha() and core[-1].isascii() else None
 
 
 class UnitTable:
@@ -39,31 +52,35 @@ class UnitTable:
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
         self._encode = encode
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def pack(self, texts: list[str]) -> Iterator[bytes]:
         """The packed ids of each text, in order; what is new in any of them is encoded at once."""
         cut = [_UNIT.findall(text) for text in texts]
         if len(self._known) > TABLE_ENTRIES:
-            self._known.clear()
-        long = self._learn(set().union(*cut).difference(self._known))
-        self._known.update(long)
+            self._known, self._older = {}, self._known
+        missing = set().union(*cut).difference(self._known)
+        if self._older:
+            kept = missing.intersection(self._older)
+            self._known.update(zip(kept, map(self._older.__getitem__, kept), strict=True))
+            missing -= kept
+        long = self._learn(missing)
         for units in cut:
             yield b"".join(map(self._known.__getitem__, units))
         for unit in long:
             del self._known[unit]
 
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """Puts the units into the table; returns those that are too long for it."""
-        known, cuts = self._known, {u: cut.groups() for u in missing if (cut := _TAIL.fullmatch(u))}
-        parts = {part for cut in cuts.values() for part in cut}
-        wanted = list((missing - cuts.keys() | parts).difference(known))
-        extra: dict[str, bytes] = {}
-        for unit, ids in zip(wanted, self._encode(wanted), strict=True):
-            (known if len(unit) <= KEPT_CHARS else extra)[unit] = ids
-        for unit, cut in cuts.items():
-            ids = b"".join([extra[part] if part in extra else known[part] for part in cut])
-            (known if len(unit) <= KEPT_CHARS else extra)[unit] = ids
-        return extra
+    def _learn(self, missing: set[str]) -> list[str]:
+        """Puts the units into the table; returns those that are too long to stay."""
+        known, cuts = self._known, {u: cut for u in missing if (cut := _cut_tail(u))}
+        parts = set()
+        for cut in cuts.values():
+            parts.update(cut)
+        wanted = list((missing.difference(cuts) | parts).difference(known))
+        known.update(zip(wanted, self._encode(wanted), strict=True))
+        for unit, (core, tail) in cuts.items():
+            known[unit] = known[core] + known[tail]
+        return [unit for unit in chain(wanted, cuts) if len(unit) > KEPT_CHARS]
 
 
 def ids_of_units(units: list[str], encode: Callable[[list[str]], list], sizes: np.ndarray) -> list:
@@ -73,7 +90,7 @@ def ids_of_units(units: list[str], encode: Callable[[list[str]], list], sizes: n
     end. Where no token ends there, the tokenizer does not cut before spaces, and the units are encoded
     one by one.
     """
-    words = [i for i, u in enumerate(units) if u[:1] == " " and u[1:].split() == [u[1:]]]
+    words = [i for i, u in enumerate(units) if _SPACE_AND_WORD.fullmatch(u)]
     single = set(range(len(units))).difference(words)
     found: list = [None] * len(units)
     chunks = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
@@ -94,6 +111,72 @@ def ids_of_units(units: list[str], encode: Callable[[list[str]], list], sizes: n
     return found
 
 
+#: Before this character, letters are the same to all libraries.
+_SETTLED = "\u0530"
+
+
+def byte_characters() -> dict[str, int]:
+    """The byte that each character of a byte-level entry stands for.
+
+    Printable bytes of Latin-1 stand for themselves, the others in order for the characters from 256.
+    """
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(kept)]
+    return {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+#: Packs few ids without a format to be read each time.
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return _PACKS[len(ids)](*ids) if len(ids) < len(_PACKS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+class ByteLevel:
+    """A byte-level vocabulary of the tokenizers library: ids of units, and the bytes of each id."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self._model = self.tokenizer.model
+        byte, self.entries = byte_characters(), []
+        for i in range(self.tokenizer.get_vocab_size()):
+            entry = self.tokenizer.id_to_token(i) or ""
+            known = all(c in byte for c in entry)
+            self.entries.append(bytes(byte[c] for c in entry) if known else entry.encode())
+        self._sizes = np.array([len(e) for e in self.entries])
+        self._characters = {b: c for c, b in byte.items()}
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids(self, units: list[str], made: Callable[[list[int]], object] = list) -> list:
+        """As ``encode``, each unit's ids ``made`` into what is wanted.
+
+        A space and letters are one pre-token, which the model takes as it is.
+        """
+        found: list = [None] * len(units)
+        others, tokenize, blank = [], self._model.tokenize, self._characters[32]
+        for i, unit in enumerate(units):
+            word = unit[1:]
+            if word.isalpha() and unit[0] == " ":
+                if unit.isascii():
+                    found[i] = made([token.id for token in tokenize(blank + word)])
+                    continue
+                if max(word) < _SETTLED:
+                    mapped = unit.encode().decode("latin-1").translate(self._characters)
+                    found[i] = made([token.id for token in tokenize(mapped)])
+                    continue
+            others.append(i)
+        for i, ids in zip(others, ids_of_units([units[i] for i in others], self.encode, self._sizes), strict=True):
+            found[i] = made(ids)
+        return found
+
+
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``chars`` bytes of text, so that long texts do not pile up."""
     lengths = batch.column(column).fill_null("")
