@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import re
-from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import KEPT_CHARS, TABLE_ENTRIES, WHITE_SPACE, ids_of_units, text_slices
+from climagrid.llm.units import KEPT_CHARS, WHITE_SPACE, ByteLevel, ids_of_units, text_slices
+from climagrid.operators.joins import lookup_join
 from climagrid.sources.scratch import materialize
 
 #: What sentencepiece writes for a space (fixed value).
@@ -24,7 +24,14 @@ _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
 #: A block's documents share bitmaps: so many at most, and so many of their id pairs, are held at a time.
 BLOCK_DOCS = 1 << 16
-BLOCK_PAIRS = 1 << 21
+BLOCK_PAIRS = 1 << 19
+#: Bytes of text aligned at a time, and units kept by a worker's table before it starts anew: they bound
+#: memory, not results.
+SLICE, TABLE_ENTRIES = 1 << 20, 100_000
+#: Bytes that a task's writer holds before it writes them: rows of groups and bitmaps are wide.
+ROW_GROUP = 16 << 20
+#: Posting rows of one pair that a task may get.
+PAIR_ROWS = 1 << 14
 #: Bits of an id of B in a pair, and of one of A above them.
 SHIFT, A_BITS = 18, 19
 
@@ -40,49 +47,31 @@ _ALIGNED = pa.schema(
 )
 
 
-def _byte_level_characters() -> dict[str, int]:
-    """The byte that each character of a byte-level entry stands for.
-
-    Printable bytes of Latin-1 stand for themselves, the others in order for the characters from 256.
-    """
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(kept)]
-    return {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Side:
     """A tokenizer: the ids of many texts, the bytes of each id, and the white space before which it may
     not cut."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: list[bytes], joined: str):
-        self._encode, self.entries, self.joined = encode, entries, joined
-        self.sizes = [len(e) for e in entries]
-        self._sizes = np.array(self.sizes)
+        self.encode, self.entries, self.joined = encode, entries, joined
+        self.sizes = np.array([len(e) for e in entries], np.int64)
+        self._written: dict[str, np.ndarray] = {}
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return ids_of_units(units, self._encode, self._sizes)
+    def spells(self, ids: list[list[int]], raw: list[bytes]) -> bool:
+        """Whether the ids of each unit stand for its bytes."""
+        entries = self.entries
+        spelled = [b"".join([entries[i] for i in own]) for own in ids]
+        return spelled == raw
 
-    def bytes_of(self, ids: list[int]) -> bytes:
-        return b"".join([self.entries[i] for i in ids])
+    def written(self, mark: str) -> np.ndarray:
+        """Every id as decimal text with ``mark`` behind it."""
+        if mark not in self._written:
+            self._written[mark] = np.array([f"{i}{mark}" for i in range(len(self.entries))], object)
+        return self._written[mark]
 
 
 def byte_level_side(path: str) -> Side:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    byte = _byte_level_characters()
-    entries = []
-    for i in range(tokenizer.get_vocab_size()):
-        entry = tokenizer.id_to_token(i) or ""
-        known = all(c in byte for c in entry)
-        entries.append(bytes(byte[c] for c in entry) if known else entry.encode())
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return Side(encode, entries, "")  # its pre-tokens never hold white space after another character
+    vocabulary = ByteLevel(path)
+    return Side(vocabulary.ids, vocabulary.entries, "")  # its pre-tokens cut before all white space
 
 
 def piece_side(path: str) -> Side:
@@ -103,7 +92,8 @@ def piece_side(path: str) -> Side:
         """Ids without that space: of texts that begin with white space before which it cuts."""
         return [ids[skip:] for ids in model.encode([lead + t for t in texts], num_threads=1)]
 
-    return Side(encode, entries, "".join(sorted(joined)))
+    sizes = np.array([len(e) for e in entries])
+    return Side(lambda units: ids_of_units(units, encode, sizes), entries, "".join(sorted(joined)))
 
 
 class Aligner:
@@ -145,36 +135,51 @@ class Aligner:
 
     def _learn(self, units: list[str]) -> dict[str, tuple]:
         """Keeps what is found for the units; returns what is too long for that."""
+        a, b = self.a.encode(units), self.b.encode(units)
+        raw = [unit.encode() for unit in units]
+        whole = self.a.spells(a, raw) and self.b.spells(b, raw)
+        good = range(len(units))
         long = {}
-        for unit, a, b in zip(units, self.a.encode(units), self.b.encode(units), strict=True):
-            raw = unit.encode()
-            whole = self.a.bytes_of(a) == raw and self.b.bytes_of(b) == raw
-            (self._known if len(unit) <= KEPT_CHARS else long)[unit] = self._aligned(a, b) if whole else (0, b"", None)
+        if not whole:
+            good = [i for i in good if self.a.spells(a[i : i + 1], raw[i : i + 1]) and self.b.spells(b[i : i + 1], raw[i : i + 1])]
+            for i in set(range(len(units))).difference(good):
+                (self._known if len(units[i]) <= KEPT_CHARS else long)[units[i]] = (0, b"", None)
+        for i, entry in zip(good, self._aligned([a[i] for i in good], [b[i] for i in good]), strict=True):
+            (self._known if len(units[i]) <= KEPT_CHARS else long)[units[i]] = entry
         return long
 
-    def _aligned(self, a: list[int], b: list[int]) -> tuple[int, bytes, str]:
-        """Both sides cut one stretch of bytes. Each stretch between two neighbouring cuts lies in one
-        token of either side, and each overlapping pair of tokens has exactly one such stretch."""
-        size_a, size_b = self.a.sizes, self.b.sizes
-        links, groups, i, j, begin_a, begin_b = [], [], 0, 0, 0, 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            links.append(a[i] << SHIFT | b[j])
-            if end_a < end_b:
-                i += 1
-                end_a += size_a[a[i]]
-            elif end_b < end_a:
-                j += 1
-                end_b += size_b[b[j]]
-            else:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[begin_a:i]))}|{','.join(map(str, b[begin_b:j]))}")
-                if i == len(a):
-                    break
-                begin_a, begin_b = i, j
-                end_a += size_a[a[i]]
-                end_b += size_b[b[j]]
-        return len(a) << 80 | len(b) << 40 | len(groups), array("q", links).tobytes(), ";".join(groups)
+    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> Iterator[tuple[int, bytes, str]]:
+        """Per unit its counts, links and groups.
+
+        All units' bytes are one stretch, which both sides cut. Each piece between two neighbouring cuts
+        lies in one token of either side, and each overlapping pair of tokens has exactly one such piece.
+        """
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, n_a), (b, n_b)))
+        if not len(ids_a):
+            return
+        ends_a, ends_b = np.cumsum(self.a.sizes[ids_a]), np.cumsum(self.b.sizes[ids_b])
+        cuts = np.union1d(ends_a, ends_b)
+        links = ids_a[np.searchsorted(ends_a, cuts)] << SHIFT | ids_b[np.searchsorted(ends_b, cuts)]
+        last_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a  # of their group
+        last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+        # The ids' texts in the order of the groups, A's before B's in each.
+        until_a, until_b = (np.concatenate([[0], np.flatnonzero(x) + 1]) for x in (last_a, last_b))
+        at_a = np.arange(len(ids_a)) + until_b[np.cumsum(last_a) - last_a]
+        at_b = np.arange(len(ids_b)) + until_a[np.cumsum(last_b) - last_b + 1]
+        texts = np.empty(len(ids_a) + len(ids_b), object)
+        texts[at_a] = np.where(last_a, self.a.written("|")[ids_a], self.a.written(",")[ids_a])
+        texts[at_b] = np.where(last_b, self.b.written(";")[ids_b], self.b.written(",")[ids_b])
+        texts, packed = texts.tolist(), links.astype("<i8").tobytes()
+        stops = np.cumsum(n_a) - 1  # the last token of A in each unit ends it
+        n_links = np.searchsorted(cuts, ends_a[stops]) + 1
+        n_groups = np.cumsum(last_a)[stops]
+        rows = zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), strict=True)
+        text, group, link = 0, 0, 0
+        for own_a, own_b, groups, found in rows:
+            joined = "".join(texts[text : text + own_a + own_b])[:-1]
+            yield own_a << 80 | own_b << 40 | groups - group, packed[8 * link : 8 * found], joined
+            text, group, link = text + own_a + own_b, groups, found
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -280,7 +285,7 @@ def _align(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, block_do
     blocks = iter(range(TaskContext.get().partitionId() << 32, 1 << 63))
     block, used, bitmaps = next(blocks), 0, PairBitmaps()
     for batch in batches:
-        for part in text_slices(batch, "text"):
+        for part in text_slices(batch, "text", SLICE):
             texts, ids = part.column("text").to_pylist(), part.column("doc_id").to_pylist()
             while texts:
                 room = block_docs - used
@@ -297,6 +302,7 @@ def _align(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, block_do
                 if used >= block_docs or bitmaps.size >= block_pairs:
                     yield from bitmaps.rows(block)
                     block, used, bitmaps = next(blocks), 0, PairBitmaps()
+                    pa.default_memory_pool().release_unused()
     yield from bitmaps.rows(block)
 
 
@@ -317,7 +323,7 @@ def align(
 
     A null or empty text, and one whose tokens' bytes are not a space and the text, has no tokens: zeros
     and empty ``groups``. Each row is a document of its own, also with a null or repeated ``doc_id``. Other
-    columns are ignored. An empty table gives no rows. A task holds about 4 MB of texts, or one longer
+    columns are ignored. An empty table gives no rows. A task holds about 1 MB of texts, or one longer
     text, with its links (8 bytes each), and one block's bitmaps.
     """
     if not 0 < block_docs <= BLOCK_DOCS:
@@ -326,19 +332,20 @@ def align(
     both = with_modules(chosen).mapInArrow(
         lambda batches: _align(batches, path_a, path_b, block_docs, block_pairs), ALIGNED
     )
-    both = materialize(both, "aligned")
+    both = materialize(both, "aligned", ROW_GROUP)
     documents = ["block", "ordinal", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
     postings = ["block", "pair", "plane", "docs", "links", "places", "bits"]
     return both.where("ordinal IS NOT NULL").select(*documents), both.where("pair IS NOT NULL").select(*postings)
 
 
 def pair_counts(postings: DataFrame) -> DataFrame:
-    """Per id pair ``a_id, b_id``, how many ``docs`` hold it linked, how many ``links`` it has, and
-    whether it is a ``best`` one: no pair of its A id is in more documents.
+    """Per id pair ``a_id, b_id``, how many ``docs`` hold it linked, how many ``links`` it has, in how
+    many ``posting_rows``, and whether it is a ``best`` one: no pair of its A id is in more documents.
 
     Blocks hold different documents, so the bitmaps' counts add up.
     """
-    counts = postings.groupBy("pair").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
+    sums = [F.sum("docs").alias("docs"), F.sum("links").alias("links"), F.count("*").alias("posting_rows")]
+    counts = postings.groupBy("pair").agg(*sums)
     counts = counts.withColumn("a_id", F.shiftright("pair", SHIFT))
     counts = materialize(counts.withColumn("b_id", F.col("pair").bitwiseAND((1 << SHIFT) - 1)), "pair-counts")
     most = counts.groupBy("a_id").agg(F.max("docs").alias("most"))  # a row for each entry of A's vocabulary
@@ -347,6 +354,8 @@ def pair_counts(postings: DataFrame) -> DataFrame:
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings of one block after the other: adds up what they hold for each of its documents."""
+    _aligners.clear()  # a worker that has aligned needs its tables no more
+    pa.default_memory_pool().release_unused()
     block, sums, best = None, np.zeros(BLOCK_DOCS, np.int64), np.zeros(BLOCK_DOCS, np.int64)
     names = ["block", "ordinal", "n_best", "count_sum"]
 
@@ -388,8 +397,10 @@ def with_scores(documents: DataFrame, postings: DataFrame) -> DataFrame:
     its links. The postings are joined with their counts and go to their block, where each hands its
     count to its documents: a frequent pair is a few rows a block, however many documents hold it.
     """
-    counts = pair_counts(postings).select("pair", "docs", "best")
-    counted = postings.select("block", "pair", "plane", "places", "bits").join(counts, "pair").drop("pair")
+    counts = materialize(pair_counts(postings).select("pair", "docs", "best", "posting_rows"), "best-pairs")
+    bitmaps = postings.select("block", "pair", "plane", "places", "bits")
+    counted = lookup_join(bitmaps, counts, ["pair"], key_rows=PAIR_ROWS, weight="posting_rows")
+    counted = counted.select("block", "plane", "docs", "best", "places", "bits")
     sums = counted.repartition("block").sortWithinPartitions("block").mapInArrow(
         _score, "block bigint, ordinal int, n_best bigint, count_sum bigint"
     )
