@@ -64,16 +64,6 @@ def test_rows_are_judged_one_by_one(spark):
     assert lines.columns == docs.columns
 
 
-def test_a_run_leaves_no_intermediate_tables(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        rows = corpus_pipeline.run(spark, SF).count()
-        left = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "climagrid").iterdir())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert rows > 0 and left == sorted(f"pipeline-{n.replace(' ', '-')}" for n, _ in corpus_pipeline.STAGES)
-
-
 def test_stages_take_awkward_rows(spark):
     for table in (awkward(spark, AWKWARD + PERSONAL), spark.createDataFrame([], SCHEMA)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
