@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import json
 from collections import Counter
 
@@ -116,6 +117,20 @@ def test_a_late_city_rewrites_its_slot_alone(spark, raw, tmp_path):
     assert {r.elevation for r in spark.read.json(str(root)).collect()} == {5.0}
 
 
+@pytest.mark.parametrize("by_city", [False, True])
+def test_landed_files_are_small_and_sorted(spark, raw, tmp_path, by_city):
+    valid, _ = io.split_valid_documents(io.read_weather_json(spark, raw[0]))
+    cities = F.explode(F.array(*[F.lit(f"Town {i % 5}") for i in range(50)]))
+    io.write_raw_json(valid.limit(1).withColumn("city", cities), str(tmp_path / "landed"), by_city)
+    files = [p for p in (tmp_path / "landed").rglob("part-*")]
+    lines = {p: gzip.decompress(p.read_bytes()).splitlines() for p in files}
+    assert sum(map(len, lines.values())) == 50
+    assert sum(p.stat().st_size for p in files) * 5 < sum(len(x) for found in lines.values() for x in found)
+    for found in lines.values():
+        names = [json.loads(line).get("city") for line in found]
+        assert by_city or names == sorted(names)
+
+
 def test_locations_csv(spark, raw, tmp_path):
     locations = io.read_locations_csv(spark, raw[1])
     path = str(tmp_path / "locations")
