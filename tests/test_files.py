@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from climagrid import sources as io
 from climagrid.__main__ import main
 from climagrid.operators import transforms as tr
-from climagrid.plans import catalog, reports
+from climagrid.plans import batch, catalog, reports
 from climagrid.sources import readers
 from climagrid.sources.schemas import LOCATION_COLUMNS, OBSERVATION_COLUMNS
 
@@ -352,6 +352,27 @@ def test_batch_writes_all_datasets(spark, refined):
     }
 
 
+@pytest.mark.parametrize("broken", [0, 2])
+def test_documents_are_parsed_again_only_for_rejected_ones(spark, tmp_path, monkeypatch, broken):
+    parsed = spark.sparkContext.accumulator(0)
+    days = [str(dt.date(2022, 1, 1) + dt.timedelta(days=i)) for i in range(30)]
+    docs = [document(*place, days, [20.0 + i % 7 for i in range(30)], [float(i % 5) for i in range(30)]) for place in CITIES.values()]
+    docs += [document(1, 1, [], [], [])] * broken
+    (tmp_path / "docs.json").write_text("\n".join(map(json.dumps, docs)))
+    lines = [",".join(LOCATION_COLUMNS), *[f"{n},{c},Colombia,{x},{y},1,2,3" for n, (c, (x, y)) in enumerate(CITIES.items())]]
+    (tmp_path / "locations.csv").write_text("\n".join(lines))
+    seen = F.udf(lambda x: (parsed.add(1), x)[1], "double").asNondeterministic()
+    read = readers.read_weather_json
+    monkeypatch.setattr(batch, "read_weather_json", lambda *a: read(*a).withColumn("latitude", seen("latitude")))
+    monkeypatch.setattr(batch, "refine", lambda *a: {})
+    trusted = str(tmp_path / "trusted")
+    batch.run_batch(spark, str(tmp_path / "docs.json"), str(tmp_path / "locations.csv"), trusted, "unused", multi_line=False)
+    assert io.read_observations(spark, trusted).count() == 4 * 30
+    kept = spark.read.schema("elevation DOUBLE, daily STRUCT<time: ARRAY<STRING>>").json(batch.rejected_path(trusted))
+    assert [(r.elevation, r.daily.time) for r in kept.collect()] == [(1500.0, [])] * broken
+    assert parsed.value == (12 if broken else 4)
+
+
 def test_the_older_set_of_datasets(spark, tmp_path):
     from climagrid.checks.queries import retail
 
