@@ -373,6 +373,16 @@ def test_documents_are_parsed_again_only_for_rejected_ones(spark, tmp_path, monk
     assert parsed.value == (12 if broken else 4)
 
 
+def test_the_raw_zone_of_the_batch_is_small(spark, tmp_path):
+    """The landed documents were three quarters of what the batch wrote and shuffled."""
+    from climagrid.checks.queries import _town, retail
+
+    valid, _ = io.split_valid_documents(retail.weather_documents(spark, "/root/testdata/sf0.001"))
+    io.write_raw_json(valid.withColumn("city", _town()), str(tmp_path / "landed"))
+    size = sum(p.stat().st_size for p in (tmp_path / "landed").rglob("part-*"))
+    assert size < 120 * valid.count()  # plain lines have 400 bytes
+
+
 def test_the_older_set_of_datasets(spark, tmp_path):
     from climagrid.checks.queries import retail
 
