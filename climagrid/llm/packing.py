@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import ByteLevel, UnitTable, packed, text_slices
+from climagrid.llm.units import ByteLevel, UnitMemo, packed, text_slices
 
 WINDOW = 1024
 #: Remainders packed together by one task: at most so many windows of ids are held in memory.
 BLOCK = 16_384
+#: Units in a worker's table before a new one takes over what is still used: bounds memory, not results.
+TABLE_ENTRIES = 400_000
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
@@ -27,14 +29,15 @@ _ARROW = pa.schema(
     + [(name, pa.int64()) for name in ("doc_tokens", "sequence_id", "offset")]
 )
 
-_tables: dict[str, UnitTable] = {}
+_tables: dict[str, UnitMemo] = {}
 
 
-def _unit_table(path: str) -> UnitTable:
+def _unit_table(path: str) -> UnitMemo:
     """One table for each Python worker: tasks of the worker share it."""
     if path not in _tables:
         vocabulary = ByteLevel(path)
-        _tables[path] = UnitTable(lambda units: vocabulary.ids(units, packed))
+        _tables[path] = UnitMemo(lambda unit: packed(vocabulary.ids_of_unit(unit)))
+    _tables[path] = _tables[path].renewed(TABLE_ENTRIES)
     return _tables[path]
 
 
@@ -90,7 +93,6 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, in
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int, block: int):
-    table = _unit_table(path)
     end = np.asarray([end_id], dtype="<u4").tobytes()
     numbers = iter(range(TaskContext.get().partitionId() << 40, 1 << 63))
     rows: list[tuple] = []
@@ -116,6 +118,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int
     for batch in batches:
         for part in text_slices(batch, "text"):
             texts = part.column("text").fill_null("").to_pylist()
+            table = _unit_table(path)
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), table.pack(texts), strict=True):
                 ids += end
                 tokens = len(ids) // 4

@@ -83,6 +83,37 @@ class UnitTable:
         return [unit for unit in chain(wanted, cuts) if len(unit) > KEPT_CHARS]
 
 
+class UnitMemo(dict):
+    """Unit to packed ids, where ``encode`` takes one unit: what is new is encoded when it is met.
+
+    For encoders that gain nothing from many units at once; units are then looked up a single time.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], older: UnitMemo | None = None):
+        super().__init__()
+        self._encode, self._older = encode, {} if older is None else older
+        if older is not None:
+            older._older = {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self._older.get(unit)
+        if ids is None:
+            cut = _cut_tail(unit)
+            ids = self[cut[0]] + self[cut[1]] if cut else self._encode(unit)
+        if len(unit) <= KEPT_CHARS:
+            self[unit] = ids
+        return ids
+
+    def pack(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The packed ids of each text, in order."""
+        for text in texts:
+            yield b"".join(map(self.__getitem__, _UNIT.findall(text)))
+
+    def renewed(self, entries: int) -> UnitMemo:
+        """This table or, when it is full, a new one that takes over what is still used of it."""
+        return self if len(self) <= entries else UnitMemo(self._encode, self)
+
+
 def ids_of_units(units: list[str], encode: Callable[[list[str]], list], sizes: np.ndarray) -> list:
     """``encode(units)`` at the cost of fewer calls; ``sizes`` are the bytes that each id stands for.
 
@@ -154,26 +185,28 @@ class ByteLevel:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(self, units: list[str], made: Callable[[list[int]], object] = list) -> list:
-        """As ``encode``, each unit's ids ``made`` into what is wanted.
-
-        A space and letters are one pre-token, which the model takes as it is.
-        """
-        found: list = [None] * len(units)
-        others, tokenize, blank = [], self._model.tokenize, self._characters[32]
-        for i, unit in enumerate(units):
-            word = unit[1:]
-            if word.isalpha() and unit[0] == " ":
-                if unit.isascii():
-                    found[i] = made([token.id for token in tokenize(blank + word)])
-                    continue
-                if max(word) < _SETTLED:
-                    mapped = unit.encode().decode("latin-1").translate(self._characters)
-                    found[i] = made([token.id for token in tokenize(mapped)])
-                    continue
-            others.append(i)
+    def ids_of_word(self, unit: str) -> list[int] | None:
+        """The ids of a space and letters, one pre-token, which the model takes as it is; else None."""
+        word = unit[1:]
+        if word.isalpha() and unit[0] == " ":
+            if unit.isascii():
+                return [token.id for token in self._model.tokenize(self._characters[32] + word)]
+            if max(word) < _SETTLED:
+                mapped = unit.encode().decode("latin-1").translate(self._characters)
+                return [token.id for token in self._model.tokenize(mapped)]
+        return None
+
+    def ids_of_unit(self, unit: str) -> list[int]:
+        """As ``encode``, of one unit."""
+        ids = self.ids_of_word(unit)
+        return self.tokenizer.encode(unit, add_special_tokens=False).ids if ids is None else ids
+
+    def ids(self, units: list[str]) -> list[list[int]]:
+        """As ``encode``, words by the model alone."""
+        found = [self.ids_of_word(unit) for unit in units]
+        others = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(others, ids_of_units([units[i] for i in others], self.encode, self._sizes), strict=True):
-            found[i] = made(ids)
+            found[i] = ids
         return found
 
 

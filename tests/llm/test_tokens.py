@@ -12,7 +12,7 @@ import tiktoken
 from brute import AWKWARD, SCHEMA, awkward
 from tokenizers import Tokenizer
 
-from climagrid.llm import bpe, packing
+from climagrid.llm import bpe, packing, units
 from climagrid.llm.queries import QUERIES
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -130,3 +130,17 @@ def test_best_fit_takes_the_tightest_window():
         for (window, _), length in zip(placed, lengths, strict=True):
             expected[window] = expected.get(window, capacity) - length
         assert sorted(expected.values()) == sorted(rooms)
+
+
+def test_a_unit_is_encoded_when_it_is_first_met():
+    vocabulary, asked = units.ByteLevel(JSON), []
+    table = units.UnitMemo(lambda unit: asked.append(unit) or units.packed(vocabulary.ids_of_unit(unit)))
+    texts = ["Uno dos, tres. dos dos", " élan vital!!\n dos tres", "", "x" * 100 + " dos, " + "x" * 100, "漢字 日本 ٣٤ dos"]
+    for entries in (100, 3):
+        for text in texts * 2:
+            table = table.renewed(entries)
+            (own,) = table.pack([text])
+            assert np.frombuffer(own, "<u4").tolist() == vocabulary.encode([text])[0]
+        if entries == 100:
+            assert asked.count(" dos") == asked.count(" tres") == 1
+        assert "x" * 100 not in table
