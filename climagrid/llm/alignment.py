@@ -25,8 +25,8 @@ _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 #: A block's documents share bitmaps: so many at most, and so many of their id pairs, are held at a time.
 BLOCK_DOCS = 1 << 16
 BLOCK_PAIRS = 1 << 19
-#: Bytes of text aligned at a time, and units kept by a worker's table before it starts anew: they bound
-#: memory, not results.
+#: Bytes of text aligned at a time, and units in a worker's table before a new one takes over what is still
+#: used of it: they bound memory, not results.
 SLICE, TABLE_ENTRIES = 1 << 20, 100_000
 #: Bytes that a task's writer holds before it writes them: rows of groups and bitmaps are wide.
 ROW_GROUP = 16 << 20
@@ -112,14 +112,17 @@ class Aligner:
         self._units = re.compile(f"[{WHITE_SPACE}]*+[^{WHITE_SPACE}]++{more}|[{WHITE_SPACE}]++").findall
         #: Unit to its counts (tokens of A, of B, groups), its links as packed pairs, and its groups.
         self._known: dict[str, tuple[int, bytes, str | None]] = {}
+        self._older: dict[str, tuple[int, bytes, str | None]] = {}
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, bytes, str]]:
         """Per text its tokens of A, of B, groups, links as packed pairs, and the groups' ids."""
         cut = [[] if not t or PIECE_SPACE in t else self._units(" " + t) for t in texts]
-        needed = set().union(*cut)
         if len(self._known) > TABLE_ENTRIES:
-            self._known.clear()
-        long = self._learn(list(needed.difference(self._known)))
+            self._known, self._older = {}, self._known
+        missing = set().union(*cut).difference(self._known)
+        kept = missing.intersection(self._older)
+        self._known.update(zip(kept, map(self._older.__getitem__, kept), strict=True))
+        long = self._learn(list(missing - kept))
         known = self._known
         known.update(long)
         mask = (1 << 40) - 1

@@ -139,3 +139,15 @@ def test_the_query_hashes_groups(spark, plain):
         if row.doc_id in docs:
             groups = plain(docs[row.doc_id])[4]
             assert row.groups_sha256 == (hashlib.sha256(groups.encode()).hexdigest() if groups else "")
+
+
+def test_a_full_table_hands_on_what_is_still_used(monkeypatch):
+    monkeypatch.setattr(alignment, "TABLE_ENTRIES", 6)
+    own, learned = alignment.Aligner(alignment.byte_level_side(A), alignment.piece_side(B)), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda found: learned.extend(found) or learn(found))
+    texts = [f"uno dos word{i} tres, term{i}" for i in range(20)]
+    found = [next(own.align([text])) for text in texts]
+    assert learned.count(" uno") == learned.count(" tres,") == 1
+    assert len(own._known) + len(own._older) < 30
+    assert found == list(alignment.Aligner(own.a, own.b).align(texts))
