@@ -10,7 +10,7 @@ from climagrid import sources as io
 from climagrid.__main__ import main
 from climagrid.operators import transforms as tr
 from climagrid.plans import batch, catalog, reports
-from climagrid.sources import readers
+from climagrid.sources import readers, writers
 from climagrid.sources.schemas import LOCATION_COLUMNS, OBSERVATION_COLUMNS
 
 # A few cities with their coordinates.
@@ -221,6 +221,38 @@ def test_a_heavy_year_is_split_over_files(spark, make_obs, tmp_path):
     assert io.read_observations(spark, str(tmp_path / "trusted")).count() == 50000
 
 
+def test_a_sorted_write_stays_within_memory(spark, make_obs, tmp_path):
+    """Also of a year that one task has read, and whatever partitions the session asks for."""
+    day = make_obs([("2022-05-05", "A", 1.0, 1.0)]).first().asDict()
+    values = {c: F.lit(v) for c, v in day.items()}
+    values |= {"weather_date": F.expr("date_add(date'2022-01-01', cast(id % 365 as int))"), "max_temp_c": F.rand(1)}
+    values |= {"precipitation_mm": F.rand(2), "elevation": F.rand(3)}
+    year = spark.range(0, 1_200_000, 1, 1).select(*[v.alias(c) for c, v in values.items()])
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for asked in ("512MB", None):
+        spark.conf.unset(setting) if asked is None else spark.conf.set(setting, asked)
+        try:
+            io.write_observations(year, str(tmp_path / "trusted"))
+            assert spark.conf.get(setting, None) == asked
+        finally:
+            spark.conf.unset(setting)
+        files = list((tmp_path / "trusted" / "weather_year=2022").glob("*.parquet"))
+        assert len(files) > 1 and spark.read.parquet(*map(str, files)).count() == 1_200_000
+
+
+def test_sorted_partitions_give_the_setting_back(spark):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for asked, meant in (("50KB", "50KB"), ("16m", "16m"), ("67108864b", str(16 << 20)), ("1g", str(16 << 20))):
+        spark.conf.set(setting, asked)
+        try:
+            with writers.sorted_partitions(spark), pytest.raises(ValueError), writers.sorted_partitions(spark):
+                assert spark.conf.get(setting) == meant
+                raise ValueError
+            assert spark.conf.get(setting) == asked
+        finally:
+            spark.conf.unset(setting)
+
+
 def test_observations_in_global_order(spark, several_years, tmp_path):
     path = str(tmp_path / "trusted")
     io.write_observations(several_years, path, ordered=True)
