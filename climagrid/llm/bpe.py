@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import UnitTable, text_slices
+from climagrid.llm.units import UnitTable, kept, text_slices
 
 #: A byte is written as the character at this code point plus its value.
 FIRST_CHARACTER = 0x100
@@ -99,15 +99,9 @@ class Codec:
             )
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(ranks_path: str, pattern: str) -> Codec:
     """One codec for each Python worker."""
-    key = ranks_path, pattern
-    if key not in _codecs:
-        _codecs[key] = Codec(*key)
-    return _codecs[key]
+    return kept(("bpe", ranks_path, pattern), lambda: Codec(ranks_path, pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

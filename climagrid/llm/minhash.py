@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from climagrid.llm.components import connected_components
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import text_slices
+from climagrid.llm.units import let_go, text_slices
 from climagrid.operators.joins import lookup_join
 from climagrid.sources.scratch import materialize
 
@@ -26,28 +26,16 @@ LEAST_SHARED = 64
 BROADCAST_BYTES = 96 << 20
 #: Members up to which a list's pairs are compared as they are; larger lists are drawn anew.
 LIST = 64
-#: Word hashes a worker keeps before it starts anew.
-TABLE_ENTRIES = 1_000_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= TABLE_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
-
-
 def word_codes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """The 64-bit hash of each word; hashing anew takes less than looking up what was hashed before."""
+    import xxhash
+
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -77,6 +65,7 @@ def _sets(docs: DataFrame, words: int, keep: int | None) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 sets = [shingle_set(t, words) for t in part.column("text").to_pylist()]

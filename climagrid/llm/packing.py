@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import ByteLevel, UnitMemo, packed, text_slices
+from climagrid.llm.units import ByteLevel, UnitMemo, kept, packed, text_slices
 
 WINDOW = 1024
 #: Remainders packed together by one task: at most so many windows of ids are held in memory.
@@ -29,16 +29,21 @@ _ARROW = pa.schema(
     + [(name, pa.int64()) for name in ("doc_tokens", "sequence_id", "offset")]
 )
 
-_tables: dict[str, UnitMemo] = {}
+class _Table:
+    """A vocabulary's table, which is renewed when it is full."""
+
+    def __init__(self, path: str):
+        vocabulary = ByteLevel(path)
+        self.units = UnitMemo(lambda unit: packed(vocabulary.ids_of_unit(unit)))
+
+    def renewed(self) -> UnitMemo:
+        self.units = self.units.renewed(TABLE_ENTRIES)
+        return self.units
 
 
 def _unit_table(path: str) -> UnitMemo:
     """One table for each Python worker: tasks of the worker share it."""
-    if path not in _tables:
-        vocabulary = ByteLevel(path)
-        _tables[path] = UnitMemo(lambda unit: packed(vocabulary.ids_of_unit(unit)))
-    _tables[path] = _tables[path].renewed(TABLE_ENTRIES)
-    return _tables[path]
+    return kept(("packing", path), lambda: _Table(path)).renewed()
 
 
 class OpenWindows:

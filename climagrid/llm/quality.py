@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from climagrid.llm import chisquare
 from climagrid.llm.minhash import window_hashes, word_codes
 from climagrid.llm.shipping import with_modules
-from climagrid.llm.units import text_slices
+from climagrid.llm.units import let_go, text_slices
 from climagrid.operators.joins import lookup_join
 from climagrid.sources.scratch import materialize
 
@@ -101,6 +101,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 found = [text_statistics(t) for t in part.column("text").to_pylist()]

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -184,3 +185,14 @@ def test_all_confident_rows_of_any_number_are_taught(spark):
     assert lesson.count() == 30_000 and lesson.where("label = 1").count() == 20_000
     weights = cotraining._weighed(lesson, train).groupBy("label").sum("weight").collect()
     assert all(math.isclose(r["sum(weight)"], 100) for r in weights)
+
+
+def test_words_of_texts_are_not_kept():
+    quality.text_statistics("one two")  # what a first call imports stays
+    tracemalloc.start()
+    try:
+        for i in range(20):
+            quality.text_statistics(" ".join(f"word{i}x{j}" for j in range(5000)))
+        assert tracemalloc.get_traced_memory()[0] < 1_000_000
+    finally:
+        tracemalloc.stop()

@@ -1,18 +1,24 @@
 """Byte-level BPE and packing."""
 
 import base64
+import gc
 import hashlib
+import os
 import random
+import time
+import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from brute import AWKWARD, SCHEMA, awkward
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from climagrid.llm import bpe, packing, units
+from climagrid.llm import bpe, minhash, packing, quality, units
 from climagrid.llm.queries import QUERIES
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -144,3 +150,39 @@ def test_a_unit_is_encoded_when_it_is_first_met():
         if entries == 100:
             assert asked.count(" dos") == asked.count(" tres") == 1
         assert "x" * 100 not in table
+
+
+def test_a_worker_keeps_the_tables_of_one_operator(texts):
+    list(packing._unit_table(JSON).pack(texts))
+    table = packing._unit_table(JSON)
+    assert len(table) and packing._unit_table(JSON) is table  # the next task finds it
+    left = weakref.ref(table)
+    del table
+    codec = bpe.codec(RANKS, P.PATTERN)
+    gc.collect()
+    assert left() is None and bpe.codec(RANKS, P.PATTERN) is codec
+    left = weakref.ref(codec)
+    del codec
+    units.let_go()
+    gc.collect()
+    assert left() is None
+
+
+@pytest.mark.parametrize("work", [lambda d: quality.statistics(d), lambda d: minhash._sets(d.withColumn("text_hash", F.xxhash64("text")), 5, 128)])
+def test_operators_without_tables_free_those_of_others(spark, work):
+    docs = spark.range(0, 64, 1, 8).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), "id", F.lit(" ")), 30).alias("text"))
+
+    def probe(batches):
+        for _ in batches:
+            time.sleep(0.2)
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "held": [len(units._kept)]})
+
+    def held():  # by worker: idle ones take turns, and the longest idle one is next
+        found = spark.range(0, 16, 1, 16).mapInArrow(probe, "pid long, held long").collect()
+        return {row.pid: row.held for row in found}
+
+    packing.pack_documents(docs, JSON).count()
+    assert any(held().values())
+    for _ in range(4):
+        work(docs).count()
+    assert not any(held().values())
